@@ -9,20 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: number, then the rest of the cell
-_NUMBER = r"^\\s*([-+]?(?:\\d[\\d,]*(?:\\.\\d*)?|\\.\\d+)(?:[eE][-+]?\\d+)?)\\s*(.*?)\\s*$"
+_NUMBER = r"[-+]?[\\d,]*\\.?\\d+"
 
 
 def same_number_sql(a: str, b: str) -> str:
-    """SQL: both cells hold the same number, and their unit words agree but for case and brackets or stand on one side only."""
+    """SQL: both cells hold the same number, and their unit words agree but for case and brackets or stand on one side only.
 
-    def number(x: str) -> str:
-        return f"try_cast(replace(regexp_extract({x}, '{_NUMBER}', 1), ',', '') as double)"
+    A number printed twice (``400 (400) hp``) counts once.
+    """
+
+    def numbers(x: str) -> str:
+        return f"array_distinct(transform(regexp_extract_all({x}, '({_NUMBER})', 1), n -> try_cast(replace(n, ',', '') as double)))"
 
     def words(x: str) -> str:
-        return f"lower(regexp_replace(regexp_extract({x}, '{_NUMBER}', 2), '[()\\\\[\\\\]{{}}\\\\s.]', ''))"
+        return f"lower(trim(regexp_replace(regexp_replace({x}, '{_NUMBER}|[()\\\\[\\\\]]', ' '), '\\\\s+', ' ')))"
 
-    return f"(coalesce({number(a)} = {number(b)}, false) and ({words(a)} = {words(b)} or {words(a)} = '' or {words(b)} = ''))"
+    return f"(size({numbers(a)}) > 0 and coalesce({numbers(a)} = {numbers(b)}, false) and ({words(a)} = {words(b)} or {words(a)} = '' or {words(b)} = ''))"
 
 
 def category_sql(field: str, numeric: bool) -> str:
