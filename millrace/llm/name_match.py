@@ -47,32 +47,47 @@ def allowed(length: int) -> int:
 class Automaton:
     """Levenshtein automaton of one word (a swap of neighbours counts one), built as it is walked.
 
-    A state is the two last rows of distances, capped at ``k + 1``; equal states are shared.
+    A state is how many letters were read and the band of the last two rows of distances that can
+    still lie within ``k``; equal states are shared. Cell ``t`` of the band after ``j`` letters is the
+    distance to the first ``j - k + t`` letters of the word.
     """
 
     def __init__(self, word: str, k: int):
         self.word, self.k = word, k
-        self.start = (None, tuple(min(i, k + 1) for i in range(len(word) + 1)), "")
+        far = k + 1
+        self.start = (0, None, tuple(t - k if t >= k and t - k <= len(word) else far for t in range(2 * k + 1)), "")
         self._steps: dict = {}
 
     def step(self, state: tuple, ch: str) -> tuple | None:
         known = self._steps.get((state, ch), 0)
         if known != 0:
             return known
-        before, row, last = state
-        w, cap = self.word, self.k + 1
-        out = [min(row[0] + 1, cap)]
-        for i, c in enumerate(w, 1):
-            best = min(row[i] + 1, out[i - 1] + 1, row[i - 1] + (c != ch))
-            if before is not None and i > 1 and c == last and w[i - 2] == ch:
-                best = min(best, before[i - 2] + 1)
-            out.append(min(best, cap))
-        new = (row, tuple(out), ch) if min(out) <= self.k else None
+        j, before, row, last = state
+        w, k, far = self.word, self.k, self.k + 1
+        n, width = len(w), 2 * self.k + 1
+        out, left = [], far
+        for t in range(width):
+            i = j + 1 - k + t
+            if i < 0 or i > n:
+                out.append(far)
+                left = far
+                continue
+            best = left + 1
+            if t + 1 < width:
+                best = min(best, row[t + 1] + 1)
+            if i:
+                best = min(best, row[t] + (w[i - 1] != ch))
+                if before is not None and i > 1 and w[i - 1] == last and w[i - 2] == ch:
+                    best = min(best, before[t] + 1)
+            left = min(best, far)
+            out.append(left)
+        new = (j + 1, row, tuple(out), ch) if min(out) <= k else None
         self._steps[state, ch] = new
         return new
 
     def distance(self, state: tuple) -> int:
-        return state[1][-1]
+        t = len(self.word) - state[0] + self.k
+        return state[2][t] if 0 <= t <= 2 * self.k else self.k + 1
 
 
 class Trie:
@@ -85,6 +100,15 @@ class Trie:
             node = node.setdefault(ch, {})
         node.setdefault("", set()).add(entry)
 
+    def at(self, word: str) -> set[int]:
+        """Entries whose path is the word itself."""
+        node = self.root
+        for ch in word:
+            node = node.get(ch)
+            if node is None:
+                return set()
+        return node.get("", set())
+
     def within(self, word: str, k: int) -> dict[int, int]:
         """entry -> distance, of every entry with a path at distance ``k`` or less."""
         auto, found = Automaton(word, k), {}
@@ -162,13 +186,13 @@ class NameList:
         key = key_of(name)
         if not key:
             return set(), 0, "none"
-        k = allowed(len(key))
-        hits = self.trie.within(key, k)
         how = "name"
-        if not hits or min(hits.values()) > 0:
-            other = self.alias.within(key, 0)
-            if other:
-                hits, how = other, "alias"
+        # the automaton's zero-distance path first: nothing is nearer
+        hits = dict.fromkeys(self.trie.at(key), 0)
+        if not hits:
+            hits, how = dict.fromkeys(self.alias.at(key), 0), "alias"
+        if not hits:
+            hits, how = self.trie.within(key, allowed(len(key))), "name"
         if not hits:
             return set(), 0, "none"
         best = min(hits.values())
@@ -222,5 +246,7 @@ def match_names(rows: DataFrame, key: str, text: str, reference: DataFrame, entr
             yield pd.DataFrame({"t": pdf["t"], "model_id": [f[0] for f in found], "how": [f[1] for f in found], "distance": [f[2] for f in found]})
 
     written = rows.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull() & (F.regexp_replace("t", r"[\s\p{Z}​﻿]", "") != ""))
-    resolved = written.select("t").distinct().mapInPandas(resolve, "t string, model_id long, how string, distance int")
+    # few bytes but much work a name: spread by count, which adaptive execution leaves as it is
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    resolved = written.select("t").distinct().repartition(tasks, "t").mapInPandas(resolve, "t string, model_id long, how string, distance int")
     return written.join(resolved, "t").select(F.col("k").alias(key), F.col("t").alias(text), "model_id", "how", "distance")
