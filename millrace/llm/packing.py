@@ -200,13 +200,14 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
     """(doc_id, piece, first_token, n_tokens, container_id) of every document; no token is lost, container_id is null for 0 tokens.
 
     Counts are written once to the shared folder, since the histogram and the assignment both need
-    them. The driver gets one number per length and salt. Ranks within a length are counted per
+    them. The driver gets one short row per length. Ranks within a length are counted per
     salt, so a length that a third of the pieces share is spread over ``SALTS`` groups.
     """
     salted = cut(token_pieces(documents, capacity, vocabulary).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")))
     counts = np.zeros((capacity + 1, SALTS), np.int64)
-    for r in salted.groupBy("n_tokens", "salt").count().collect():  # at most capacity x SALTS numbers
-        counts[r[0], r[1]] = r[2]
+    per_salt = F.array(*[F.count_if(F.col("salt") == i) for i in range(SALTS)])
+    for r in salted.groupBy("n_tokens").agg(per_salt.alias("n")).collect():  # at most ``capacity`` rows of SALTS numbers
+        counts[r[0]] = r[1]
     made = plan(counts.sum(1), capacity)
     offset = np.cumsum(counts, 1) - counts
     begin = np.searchsorted(made.lengths, np.arange(capacity + 2), "left")
