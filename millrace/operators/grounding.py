@@ -13,8 +13,8 @@ def stands_in(needle: Column, page: Column) -> Column:
     quoted = lambda x: F.concat(F.when(x.rlike(r"^\d"), F.lit(r"(?<![\d.,])")).otherwise(F.lit("")), F.lit(r"\Q"), F.replace(x, F.lit(r"\E"), F.lit("")), F.lit(r"\E"), F.when(x.rlike(r"\d$"), F.lit(r"(?!\d|[.,]\d)")).otherwise(F.lit("")))
     number = F.regexp_extract(needle, r"^[-+]?\d[\d,]*(?:\.\d+)?", 0)
     # a plain search first: only pages that hold the text are matched by pattern
-    whole = F.contains(page, needle) & page.rlike(quoted(needle))
-    return whole | ((number != "") & (number != needle) & F.contains(page, number) & page.rlike(quoted(number)))
+    whole = F.contains(page, needle) & F.regexp_like(page, quoted(needle))
+    return whole | ((number != "") & (number != needle) & F.contains(page, number) & F.regexp_like(page, quoted(number)))
 
 
 def ground(values: DataFrame, pages: DataFrame, record: list[str], value_id: str, value: str, cited: str, page_no: str, text: str) -> DataFrame:
@@ -22,7 +22,7 @@ def ground(values: DataFrame, pages: DataFrame, record: list[str], value_id: str
     clean = pages.select(*record, F.col(page_no).alias("__p"), squeeze(F.col(text)).alias("__t"))
     v = values.select(*record, value_id, squeeze(F.col(value).cast("string")).alias("__v"), page_numbers(F.col(cited)).alias("__c"))
     j = v.join(clean, record, "left")
-    hit = F.coalesce(stands_in(F.col("__v"), F.col("__t")), F.lit(False))
+    hit = F.coalesce((F.col("__v") != "") & stands_in(F.col("__v"), F.col("__t")), F.lit(False))
     is_cited = F.coalesce(F.array_contains("__c", F.col("__p")), F.lit(False))
     g = j.groupBy(value_id).agg(
         F.max((F.col("__p").isNotNull() & (F.coalesce("__v", F.lit("")) != "")).cast("int")).alias("e"), F.max((hit & is_cited).cast("int")).alias("c"),

@@ -75,9 +75,10 @@ def fill_or_conflict(targets: DataFrame, cascade: DataFrame, on: list[str], targ
     """(on, target, order, disposition) for every offered value in order: filled, duplicate or disagreement.
 
     The effective value of a target is its own, else the first offered; each offer compares to it.
+    Offers of one place in the order go by value.
     """
     joined = targets.select(*on, target, own).join(cascade.select(*on, F.col(offered).alias("__o"), order).where("__o is not null"), on)
-    w = W.partitionBy(*on, target).orderBy(order)
+    w = W.partitionBy(*on, target).orderBy(order, "__o")
     first = F.first("__o").over(w)
     effective = F.coalesce(F.col(own), first)
     n = F.row_number().over(w)

@@ -62,6 +62,7 @@ def greedy_pairs(old: DataFrame, new: DataFrame, group: list[str], keys: list[st
     is one record's curve, small by nature. Rows without a partner have a null id.
     """
     schema = ", ".join(f"{g} {dict(old.dtypes)[g]}" for g in group) + f", old_id {dict(old.dtypes)[order]}, new_id {dict(old.dtypes)[order]}"
+    whole = dict(old.dtypes)[order] in ("bigint", "int")
     a = old.select(*group, *keys, order)
     b = new.select(*group, *keys, order)
 
@@ -76,7 +77,7 @@ def greedy_pairs(old: DataFrame, new: DataFrame, group: list[str], keys: list[st
         rows += [(*key, None, n[order]) for n in free]
         out = pd.DataFrame(rows, columns=[*group, "old_id", "new_id"])
         for c in ("old_id", "new_id"):
-            out[c] = out[c].astype("Int64") if dict(old.dtypes)[order] in ("bigint", "int") else out[c]
+            out[c] = out[c].astype("Int64") if whole else out[c]
         return out
 
     return a.groupBy(*group).cogroup(b.groupBy(*group)).applyInPandas(pair, schema)

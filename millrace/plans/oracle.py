@@ -27,13 +27,13 @@ _FINDINGS = """
 
 _REFS = """
     refs as (
-        select 'stg_pump_config' as table_name, config_id as row_id, organization_id as o, well_id as w, loaded_at as at from stg_pump_config
+        select 'stg_pump_config' as table_name, config_id as row_id, organization_id as o, well_id as w, loaded_at as ts from stg_pump_config
         union all select 'esp_well_design_context', context_id, organization_id, well_id, loaded_at from esp_well_design_context
         union all select 'stg_curve_observations', obs_id, organization_id, well_id, loaded_at from stg_curve_observations),
     listed as (select organization_id as o, well_id as w, min(listed_at) as first from well_list group by all),
-    alive as (select distinct r.table_name, r.row_id from refs r join well_list l on l.organization_id = r.o and l.well_id = r.w and l.listed_at <= r.at and (l.removed_at is null or r.at < l.removed_at)),
+    alive as (select distinct r.table_name, r.row_id from refs r join well_list l on l.organization_id = r.o and l.well_id = r.w and l.listed_at <= r.ts and (l.removed_at is null or r.ts < l.removed_at)),
     orphan as (
-        select r.table_name, strftime(r.at, '%Y-%m') as period, r.row_id, case when l.first is null then 'missing' when l.first > r.at then 'late' else 'deleted' end as orphan_kind
+        select r.table_name, strftime(r.ts, '%Y-%m') as period, r.row_id, case when l.first is null then 'missing' when l.first > r.ts then 'late' else 'deleted' end as orphan_kind
         from refs r left join listed l using (o, w) left join alive a on a.table_name = r.table_name and a.row_id = r.row_id
         where r.o is not null and r.w is not null and a.row_id is null)"""
 
@@ -53,7 +53,7 @@ _CHAINS = f"""
 
 
 def _number_list(x: str) -> str:
-    return f"list_distinct(list_transform(regexp_extract_all({x}, '[-+]?[\\d,]*\\.?\\d+'), n -> try_cast(replace(n, ',', '') as double)))"
+    return f"list_distinct(list_transform(regexp_extract_all({x}, '[-+]?[\\d,]*\\.?\\d+'), lambda n: try_cast(replace(n, ',', '') as double)))"
 
 
 def _unit_words(x: str) -> str:
@@ -92,7 +92,7 @@ ORACLE = {
         ) where rn = 1 or event_type is distinct from p""",
     "w5_monotonic": """
         select l_orderkey, count(p) as n, sum(case when l_extendedprice < p then 1 else 0 end)::bigint as n_back from (
-            select *, lag(l_extendedprice) over (partition by l_orderkey order by l_linenumber) as p from lineitem where l_extendedprice is not null
+            select *, lag(l_extendedprice) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as p from lineitem where l_extendedprice is not null
         ) group by l_orderkey""",
     "w6_carry_forward": """
         select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (
@@ -114,7 +114,7 @@ ORACLE = {
         with s as (select l_orderkey, case when l_suppkey % 3 <> 0 then 'M' || (l_suppkey % 5) end as model, 'part ' || l_partkey as printed, l_linenumber as ord, l_quantity::int as stages,
                 l_extendedprice as top, l_extendedprice + l_quantity as bottom, case l_returnflag when 'R' then 'conflict' when 'A' then 'validated' else 'extracted' end as status from lineitem)
         select l_orderkey, coalesce(model, 'printed: ' || printed) as model_key, nullif(sum(stages), 0)::bigint as stages, count(*) as housings, min(top) as top, max(bottom) as bottom,
-            arg_min(printed, {'o': ord, 'p': printed}) as first_printed, min(ord) as first_order, string_agg(stages::varchar, ', ' order by ord, printed) as stages_list,
+            arg_min(printed, {'o': ord, 'p': printed}) as first_printed, min(ord) as first_order, string_agg(stages::varchar, ', ' order by ord, printed, stages::varchar) as stages_list,
             case when bool_or(status = 'conflict') then 'conflict' when bool_and(status = 'validated') then 'validated' else 'extracted' end as status
         from s group by l_orderkey, coalesce(model, 'printed: ' || printed)""",
     "a2_variance": """
@@ -147,7 +147,7 @@ ORACLE = {
         select context_id, round(case when lower(trim(bubble_point_unit_as_printed)) = 'psig' then try_cast(bubble_point_psi as double) + 14.7 else try_cast(bubble_point_psi as double) end, 6) as value,
             case when lower(trim(bubble_point_unit_as_printed)) = 'psi' then 'bare_psi' when coalesce(trim(bubble_point_unit_as_printed), '') = '' then 'no_unit' end as reason from esp_well_design_context""",
     "expr_gravity": """
-        select context_id, round(141.5 / (131.5 + oil_api_deg), 3) as sg,
+        select context_id, round_even(141.5 / (131.5 + oil_api_deg), 4) as sg,
             round(0.433 * (round_even(141.5 / (131.5 + oil_api_deg), 4) * (1 - water_cut_design_frac) + 1.02 * water_cut_design_frac), 4) as gradient from esp_well_design_context""",
     "expr_surrogate": """
         select 'obs_' || substr(sha1(l_orderkey || '|' || l_linenumber || '|' || case when l_returnflag <> 'N' then l_returnflag else '' end), 1, 16) as id, l_orderkey, l_linenumber from lineitem""",
@@ -177,7 +177,7 @@ ORACLE = {
         select form, count(*) as n_names, string_agg(n, '|' order by n) as names from f group by form having count(*) > 1""",
     "j2_fill_or_conflict": """
         with j as (select o_orderkey, case when o_orderkey % 3 <> 0 then o_totalprice end as own, round(l_extendedprice, 0) as offered, l_linenumber as ord from orders join lineitem on o_orderkey = l_orderkey where l_extendedprice is not null),
-        e as (select *, coalesce(own, first_value(offered) over w) as effective, row_number() over w as rn from j window w as (partition by o_orderkey order by ord))
+        e as (select *, coalesce(own, first_value(offered) over w) as effective, row_number() over w as rn from j window w as (partition by o_orderkey order by ord, offered))
         select o_orderkey, ord, offered, effective, case when own is null and rn = 1 then 'filled' when abs(offered - effective) <= 1e-6 then 'duplicate' else 'disagreement' end as disposition from e""",
     "j3_positional_outer": f"""
         with {_VERSIONS}, a as (select *, row_number() over (partition by k order by '{{"bal":"' || bal || '","name":"' || name || '"}}')::int as position from old),
@@ -217,8 +217,8 @@ ORACLE = {
     "u3_intersect": "select c_nationkey as k from customer intersect select s_nationkey from supplier",
     "u4_union_mixed": "select c_name as name, c_mktsegment as segment, null::double as balance from customer union all select s_name, null, s_acctbal from supplier",
     "k7_upsert": """
-        select c_custkey, state, at from (select *, row_number() over (partition by c_custkey order by at desc, s desc) as rn from (
-            select c_custkey, c_mktsegment as state, 0 as at, 0 as s from customer union all select o_custkey, o_orderpriority, o_orderkey::int, 1 from orders)) where rn = 1""",
+        select c_custkey, state, "at" from (select *, row_number() over (partition by c_custkey order by "at" desc, s desc) as rn from (
+            select c_custkey, c_mktsegment as state, 0 as "at", 0 as s from customer union all select o_custkey, o_orderpriority, o_orderkey::int, 1 from orders)) where rn = 1""",
     "o1_key_order": "select p_partkey::varchar as k, p_name from part order by length(p_partkey::varchar) desc, p_partkey::varchar desc limit 10",
     "t1_routing": """
         with p as (select page_id, lower(coalesce(page_text, '')) as t from page_texts),
@@ -229,7 +229,7 @@ ORACLE = {
     "t5_keep_pages": """
         select page_id, coalesce(role0, last_value(role0 ignore nulls) over (w rows between unbounded preceding and 1 preceding)) as role, kept,
             case when kept then sum(kept::int) over w end::bigint as new_no, length(regexp_replace(coalesce(page_text, ''), '[\\s\\pZ]', '', 'g')) < 150 as low_yield
-        from (select *, roles[1] as role0, not (coalesce(len(roles), 0) > 0 and len(list_filter(roles, r -> r is distinct from 'gas_page')) = 0) as kept from page_texts)
+        from (select *, roles[1] as role0, not (coalesce(len(roles), 0) > 0 and len(list_filter(roles, lambda r: r is distinct from 'gas_page')) = 0) as kept from page_texts)
         window w as (partition by report_id order by page_no, page_id)""",
     "rule_engine": f"with {_FINDINGS} select rule_id, severity, table_name, column_name, count(*) as n from f group by all",
     "rule_status": f"""

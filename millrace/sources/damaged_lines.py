@@ -4,9 +4,9 @@ Every line is read by a minimum-cost error parse. A parse that costs nothing and
 fields are valid loads. Otherwise dynamic programming finds the cheapest insertions and deletions
 of quotes and delimiters that make the line readable; they are reported and state the reason.
 
-In CSV lines quote edits outweigh any number of delimiter edits, and so does a delimiter forced in
-after a closing quote, so a script costs ``QUOTE`` or more exactly when no reading of the quotes
-as they stand exists.
+CSV lines are repaired in two steps, quotes before delimiters: a script costs ``QUOTE`` or more
+exactly when no reading of the quotes as they stand exists, whatever the number of fields; among
+the cheapest quote scripts the one that comes nearest to the header's fields is taken.
 """
 
 from __future__ import annotations
@@ -119,16 +119,28 @@ def _viterbi(text: str, start: int, accept: int, n_states: int, moves, inserts,
 
 
 def repair_csv(line: str, n_fields: int) -> tuple[int, list[str]]:
-    """Cheapest script that gives ``line`` sound quoting and ``n_fields`` fields; (0, []) if it has both."""
+    """Cheapest script for ``line`` under a header of ``n_fields``; (0, []) if it reads as it stands.
+
+    Quote edits cost QUOTE (dropping what follows a closing quote is one), each field too few or
+    too many 1.
+    """
+    if _SOUND.match(line):
+        return _delimiter_edits(line, n_fields)
     m = max(n_fields, 1)
-    # state = field * 4 + (0 field begins, 1 bare, 2 quoted, 3 quote closed)
+    # state = 4 * (delimiters read, those beyond the header's as one) + (0 field begins, 1 bare, 2 quoted, 3 quote closed)
     inserts: list[list[tuple]] = []
-    for f in range(m):
+    for f in range(m + 1):
         b = 4 * f
-        more = [(b + 4, 1, "insert ,")] if f + 1 < m else []
-        inserts += [[(b + 2, QUOTE, 'insert "'), *more], more, [(b + 3, QUOTE, 'insert "')], [(t, QUOTE, w) for t, _, w in more]]
+        inserts += [[(b + 2, QUOTE, 'insert "')], [], [(b + 3, QUOTE, 'insert "')], []]
+    ends = 4 * (m + 1)
+    inserts.append([])
+    for f in range(m + 1):
+        for k in (0, 1, 3):
+            inserts[4 * f + k] = [*inserts[4 * f + k], (ends, abs(f + 1 - m), "")]
 
     def moves(s: int, ch: str) -> list[tuple]:
+        if s == ends:
+            return []
         f, k = divmod(s, 4)
         b = 4 * f
         if ch == '"':
@@ -137,20 +149,27 @@ def repair_csv(line: str, n_fields: int) -> tuple[int, list[str]]:
         if k == 2:
             return [(s, 0, "")]
         if ch == ",":
-            step = [(b + 4, 0, "")] if f + 1 < m else []
-            return [*step, (s if k else b + 1, 1, "delete ,")]
+            return [(4 * min(f + 1, m), 0, "")]
         return [(s, QUOTE, "delete " + ch)] if k == 3 else [(b + 1, 0, "")]
 
-    ends = 4 * m  # accepting: any state of the last field but an open quote
-    inserts.append([])
-    for k in (0, 1, 3):
-        inserts[4 * (m - 1) + k] = [*inserts[4 * (m - 1) + k], (ends, 0, "")]
-    last = moves
+    return _viterbi(line, 0, ends, ends + 1, moves, inserts, range(ends))
 
-    def guarded(s: int, ch: str) -> list[tuple]:
-        return [] if s == ends else last(s, ch)
 
-    return _viterbi(line, 0, ends, ends + 1, guarded, inserts, range(ends))
+def _delimiter_edits(line: str, n_fields: int) -> tuple[int, list[str]]:
+    """Delimiters to put in or take out of a line of sound quoting; those whose loss keeps it sound go first, from the end."""
+    found, at = [], 0
+    while True:
+        m = _FIELD.match(line, at)
+        found.append((m.start(), m.group(1) is not None))
+        at = m.end()
+        if at == len(line) and not (m.group(0).endswith(",") and m.end() > m.start()):
+            break
+    few = n_fields - len(found)
+    if few >= 0:
+        return few, [f"insert , at {len(line)}"] * few
+    joints = [(found[i][0] - 1, found[i][1] == found[i - 1][1]) for i in range(1, len(found))]
+    out = sorted(joints, key=lambda j: (not j[1], -j[0]))[:-few]
+    return -few, [f"delete , at {p}" for p, _ in sorted(out)]
 
 
 _BARE = set("0123456789+-.eEtrufalsn")
@@ -229,8 +248,6 @@ def read_csv(raw: str, header: list[str]) -> tuple[str, str | None, int, str, di
             if bad:
                 return "refused", "invalid_value", 0, f"invalid {bad}", None
             return "loaded", None, 0, "", {k: v for k, v in values.items() if v != ""}
-        more = len(header) - len(fields)
-        return "refused", "wrong_field_count", abs(more), "; ".join(repair_csv(raw, len(header))[1]), None
     cost, edits = repair_csv(raw, len(header))
     return "refused", "broken_quoting" if cost >= QUOTE else "wrong_field_count", cost, "; ".join(edits), None
 

@@ -36,7 +36,7 @@ def test_blank_and_fence_are_no_records():
 
 
 def apply(line: str, edits: list[str]) -> str:
-    out, at = [], 0
+    out = []
     by_place: dict[int, list[str]] = {}
     for e in edits:
         what, place = e.rsplit(" at ", 1)
@@ -46,7 +46,6 @@ def apply(line: str, edits: list[str]) -> str:
         out += [x.removeprefix("insert ") for x in todo if x.startswith("insert ")]
         if i < len(line) and not any(x.startswith("delete ") for x in todo):
             out.append(line[i])
-    del at
     return "".join(out)
 
 
@@ -54,12 +53,36 @@ def apply(line: str, edits: list[str]) -> str:
 @given(st.text(alphabet='ab",', max_size=14), st.integers(1, 4))
 def test_csv_scripts_repair(line, n):
     cost, edits = D.repair_csv(line, n)
-    fixed = apply(line, edits)
-    assert D._SOUND.match(fixed)
-    assert len(D.read_csv(fixed, [str(i) for i in range(n)])[4] or {}) <= n
-    assert D.read_csv(fixed, [str(i) for i in range(n)])[0] == "loaded"
     sound = bool(D._SOUND.match(line))
     assert (cost >= D.QUOTE) == (not sound)
+    fixed = apply(line, edits)
+    if not sound:
+        assert D._SOUND.match(fixed)
+        assert D.repair_csv(fixed, n)[0] == cost % D.QUOTE or cost % D.QUOTE == 1
+    elif D._SOUND.match(fixed):
+        assert D.read_csv(fixed, [str(i) for i in range(n)])[0] == "loaded"
+    else:
+        assert cost and all(e.startswith("delete ,") for e in edits)
+
+
+def fewest_quote_edits(line):
+    """Breadth-first over insertions and deletions of quotes."""
+    seen, edge, n = {line}, [line], 0
+    while not any(D._SOUND.match(x) for x in edge):
+        n += 1
+        edge = {y for x in edge for i in range(len(x) + 1) for y in ([x[:i] + '"' + x[i:]] + ([x[:i] + x[i + 1 :]] if i < len(x) and x[i] == '"' else []))} - seen
+        seen |= edge
+    return n
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.text(alphabet='a",', max_size=6), st.integers(1, 3))
+def test_csv_scripts_are_cheapest(line, n):
+    cost, edits = D.repair_csv(line, n)
+    fewest = fewest_quote_edits(line)
+    assert cost // D.QUOTE <= fewest
+    if all(e.split(" ")[1] in '",' for e in edits):
+        assert cost // D.QUOTE == fewest
 
 
 def test_table(spark):
