@@ -253,6 +253,67 @@ ORACLE = {
     "st_confirm": """
         select cast(o_orderkey as varchar) as confirmation_id, o_custkey, coalesce(nullif(concat_ws(',', case when o_custkey is null then 'customer' end,
             case when not coalesce(o_totalprice > 1000, false) then 'price' end, case when not coalesce(o_orderstatus <> 'P', false) then 'closed' end), ''), 'accepted') as result from orders""",
+    # record-level operators
+    "rec_collapse": """
+        with r as (select *, o_orderstatus = 'O' as open, case when o_custkey % 5 <> 0 then o_orderpriority end as p from orders)
+        select o_custkey, arg_min(p, {'d': o_orderdate, 'k': o_orderkey}) as o_orderpriority, bool_and(open) as all_open, min(o_totalprice) as min_o_totalprice, max(o_totalprice) as max_o_totalprice from r group by o_custkey""",
+    "rec_preferred": """
+        select config_id, coalesce(top_md_ft, bottom_md_ft) as value, case when top_md_ft is not null then 'top' when bottom_md_ft is not null then 'bottom' end as source,
+            case when top_md_ft is not null and bottom_md_ft is not null then 'bottom=' || bottom_md_ft else '' end as others from stg_pump_config""",
+    "rec_envelope": """
+        with e as (select context_id, try_cast(bubble_point_psi as double) as v, case when bubble_point_unit_as_printed in ('psi', 'psia') then 'psi' else bubble_point_unit_as_printed end as u, coalesce(bubble_point_provenance, 'document') as s from esp_well_design_context)
+        select context_id, case when v is null then 'no_value' when u is null then 'no_unit' when u <> 'psi' then 'wrong_unit' when s not in ('document', 'measured', 'correlation', 'assumed') then 'unknown_source' end as problem from e""",
+    "rec_flattened": "select page_id::varchar as page_id, page_no::varchar as page_no, array_to_string(roles, '; ') as roles from page_texts",
+    "rec_key_parts": """
+        select distinct source_file, case when m then regexp_extract(source_file, '^(wl|rpt)-', 1) end as kind, case when m then regexp_extract(source_file, '-(\\d+)\\.', 1) end as number, case when m then regexp_extract(source_file, '\\.(csv|md)$', 1) end as ext
+        from (select source_file, regexp_full_match(source_file, '(wl|rpt)-(\\d+)\\.(csv|md)') as m from raw_lines)""",
+    "rec_keys_like": "select key, count(*) as n, count(distinct v) as n_values from (select unnest(json_keys(props)) as key, json_extract_string(props, unnest(json_keys(props))) as v from events) where key like 'k%' group by key",
+    "e13_without_names": """
+        select organization_id, count(*) as n from well_list where well_id is null or not (contains(regexp_replace(lower(well_id), '[^\\pL\\pN]', '', 'g'), 'orrinbench') or contains(regexp_replace(lower(well_id), '[^\\pL\\pN]', '', 'g'), 'isfjell')) group by organization_id""",
+    "a11_sum_check": """
+        with l as (select l_orderkey as k, l_quantity::decimal(12,1) as q from lineitem),
+        s as (select k, count(*) as n, sum(q) as s, 0.05 * count(*) as t, sum(q) + (k % 4 = 0)::int as total, count(*) + (k % 7 = 0)::int as expected from l group by k)
+        select k, case when n < expected then 'missing_part' when abs(s - total) <= t then 'pass' else 'fail' end as result, n, s::double as sum, t::double as tolerance from s""",
+    "a14_poisoned_sum": "select source, case when count(n_chars) = count(*) then sum(n_chars)::bigint end as total, count(*) as n from documents group by source",
+    "a18_label_conflicts": """
+        select source_document, scenario_ordinal, string_agg(distinct is_design_scenario, '|' order by is_design_scenario) as labels, 'pump_config' as tables from stg_pump_config
+        where scenario_ordinal is not null and is_design_scenario is not null group by source_document, scenario_ordinal having count(distinct is_design_scenario) > 1""",
+    "a20_coverage": """
+        with c as (unpivot (select vendor_family, source_document, manufacturer, section_role, stages, top_md_ft, stages_per_housing_as_printed from stg_pump_config where vendor_family is not null and source_document is not null)
+            on manufacturer, section_role, stages, top_md_ft, stages_per_housing_as_printed into name "column" value v),
+        t as (select vendor_family, count(distinct source_document) as n_records from c group by 1)
+        select vendor_family, "column", count(distinct source_document) as n_with, any_value(n_records) as n_records, round(count(distinct source_document) / any_value(n_records), 6) as share from c join t using (vendor_family) group by 1, 2""",
+    "a20_expected_missing": """
+        with c as (unpivot (select vendor_family, source_document, manufacturer, section_role, stages, top_md_ft from stg_pump_config where vendor_family is not null and source_document is not null)
+            on manufacturer, section_role, stages, top_md_ft into name "column" value v),
+        t as (select vendor_family, count(distinct source_document) as n from c group by 1), u as (select vendor_family, "column" from c join t using (vendor_family) group by 1, 2 having round(count(distinct source_document) / any_value(n), 6) >= 0.7)
+        select distinct d.vendor_family, d.source_document, u."column" from (select distinct vendor_family, source_document from c) d join u using (vendor_family)
+        where not exists (select 1 from c where c.vendor_family = d.vendor_family and c.source_document = d.source_document and c."column" = u."column")""",
+    "a22_rates": """
+        select user_id, count(*) as n, round(count(*) * 1000.0::double / nullif(greatest(floor(epoch(max(ts))) - floor(epoch(min(ts))), 0), 0), 4) as per_1000s from events group by user_id""",
+    "w12_misplaced": """
+        select config_id, position::int as position, not coalesce(try_cast(section_order as int) = position, false) as misplaced from (
+            select *, row_number() over (partition by source_document, scenario_ordinal order by section_order nulls first, config_id) as position from stg_pump_config)""",
+    "w13_latest_committed": "select o_custkey, arg_max(o_orderkey, {'d': o_orderdate, 'k': o_orderkey}) as o_orderkey from orders where o_orderkey in (select l_orderkey from lineitem where l_linestatus = 'F') group by o_custkey",
+    "j4_cascade_match": """
+        with a as (select l_orderkey % 500 as k, l_linestatus, case when l_suppkey % 3 = 0 then l_returnflag end as flag from lineitem),
+        o as (select k, l_linestatus, flag, count(*) as n from a where k % 7 <> 0 group by all), n as (select k, l_linestatus, case when k % 13 = 0 then 'Z' else flag end as flag, count(*) as n from a where k % 11 <> 0 group by all),
+        j as (select coalesce(o.k, n.k) as k, coalesce(o.l_linestatus, n.l_linestatus) as l_linestatus, coalesce(o.flag, n.flag) as flag, coalesce(o.n, 0) as n_old, coalesce(n.n, 0) as n_new
+            from o full join n on o.k = n.k and o.l_linestatus = n.l_linestatus and o.flag is not distinct from n.flag),
+        b as (select k, l_linestatus from j where n_old = 0 or n_new = 0 group by all having max(n_old) > 0 and max(n_new) > 0)
+        select j.*, case when n_old = n_new then 'matched' when n_old > 0 and n_new > n_old then 'split' when n_old > 0 and n_new > 0 then 'merged' when b.k is not null then 'regrouped' when n_new = 0 then 'missing' else 'extra' end as kind
+        from j left join b on b.k = j.k and b.l_linestatus = j.l_linestatus""",
+    "d8_parity": f"""
+        with {_VERSIONS}, x as (select *, 'o' as s from (select * from old except all select * from new) union all select *, 'n' from (select * from new except all select * from old))
+        select count_if(s = 'o' and name not like '%3')::bigint as only_old, count_if(s = 'n' and name not like '%3')::bigint as only_new, count_if(name like '%3')::bigint as allowed from x""",
+    "d11_new_items": "select distinct o_custkey, o_orderpriority from orders where o_totalprice < 5000 and (o_custkey, o_orderpriority) not in (select o_custkey, o_orderpriority from orders where o_totalprice < 3000)",
+    "r17_series": """
+        with t as (select vendor_family, point_type, try_cast(replace(flow_as_printed, ',', '') as double) as x, try_cast(replace(head_as_printed, ',', '') as double) as y from stg_curve_observations)
+        select vendor_family, point_type, count(*) as n, count_if(x is not null and y is not null)::bigint as n_drawn, min(case when y is not null then x end) as x_min, max(case when y is not null then x end) as x_max,
+            case when count_if(x is not null and y is not null) = 0 then 'nothing_to_draw' end as skipped from t group by all""",
+    "r16_queue_state": """
+        select event_id, case when user_id % 3 >= 2 then 'queued' when floor(epoch(timestamp '2024-01-20')) - floor(epoch(ts)) > 300 then 'delayed' else 'starting' end as state from events""",
+    "r25_unique_labels": "select p_partkey, p_brand, case when count(*) over (partition by p_brand) > 1 then p_brand || ' (' || row_number() over (partition by p_brand order by p_partkey) || ')' else p_brand end as label from part",
     # the general problems
     "p4_found": f"with {_CHAINS} select organization_id, well_id, valid_from, valid_to from chains",
     "p4_history": f"with {_CHAINS} select organization_id, well_id, s.a as intake_set_depth_md_ft, s.b as motor_type, s.c as motor_nameplate_hp, s.d as oil_api_deg, s.e as water_cut_design_frac, s.f as design_frequency_hz, valid_from, valid_to from chains",

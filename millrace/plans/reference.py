@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import expressions as X
 from millrace.functions import typed
-from millrace.operators import grounding, resolve, routing, variants, versions, windows
+from millrace.operators import grounding, records, resolve, routing, variants, versions, windows
 from millrace.plans import entries, rules
 from millrace.session import shared_dir, table
 from millrace.sources import damaged_lines, reports, sinks
@@ -382,6 +382,129 @@ def r14_stale(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.when(stale, "stale").otherwise(status).alias("state"))
 
 
+# ---- record-level operators
+def rec_collapse(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").withColumn("open", F.col("o_orderstatus") == "O").withColumn("halt", F.when(F.col("o_custkey") % 5 == 0, F.array(F.lit("o_orderpriority"))).otherwise(F.array().cast("array<string>")))
+    return records.collapse(rows, ["o_custkey"], ["o_orderpriority"], ["o_orderdate", "o_orderkey"], ["open"], ["o_totalprice"], F.col("halt"))
+
+
+def rec_merged_json(spark: SparkSession, d: str) -> DataFrame:
+    return records.merged_json(table(spark, d, "events"), ["user_id"], "props", ["ts", "event_id"], "merged")
+
+
+def rec_preferred(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "stg_pump_config")
+    v = records.preferred([("top", F.col("top_md_ft")), ("bottom", F.col("bottom_md_ft"))])
+    return t.select("config_id", v.alias("v")).select("config_id", "v.value", "v.source", "v.others")
+
+
+def rec_envelope(spark: SparkSession, d: str) -> DataFrame:
+    unit = F.when(F.col("bubble_point_unit_as_printed").isin("psi", "psia"), "psi").otherwise(F.col("bubble_point_unit_as_printed"))
+    p = records.envelope_problem(F.col("bubble_point_psi").try_cast("double"), unit, F.coalesce("bubble_point_provenance", F.lit("document")), F.lit("psi"), ["document", "measured", "correlation", "assumed"])
+    return table(spark, d, "esp_well_design_context").select("context_id", p.alias("problem"))
+
+
+def rec_flattened(spark: SparkSession, d: str) -> DataFrame:
+    return records.flattened(table(spark, d, "page_texts").select("page_id", "page_no", "roles"))
+
+
+def rec_key_parts(spark: SparkSession, d: str) -> DataFrame:
+    parts = records.key_parts(F.col("source_file"), r"(wl|rpt)-(\d+)\.(csv|md)", ["kind", "number", "ext"])
+    return table(spark, d, "raw_lines").select("source_file").distinct().select("source_file", parts.alias("p")).select("source_file", "p.kind", "p.number", "p.ext")
+
+
+def rec_keys_like(spark: SparkSession, d: str) -> DataFrame:
+    obj = table(spark, d, "events").select("event_id", F.from_json("props", "map<string,string>").alias("o"))
+    return records.keys_like(obj, "o", "^k", "event_id").groupBy("key").agg(F.count("*").alias("n"), F.count_distinct("value").alias("n_values"))
+
+
+def e10_repair_class(spark: SparkSession, d: str) -> DataFrame:
+    names = table(spark, d, "stg_pump_config").select("pump_model_as_printed").distinct().select("pump_model_as_printed", records.repair_class(F.col("pump_model_as_printed")).alias("r"))
+    return names.groupBy("r.kind").agg(F.count("*").alias("n"), F.array_join(F.slice(F.array_sort(F.collect_set("pump_model_as_printed")), 1, 12), "|").alias("examples")).select("kind", "n", "examples")
+
+
+def e13_without_names(spark: SparkSession, d: str) -> DataFrame:
+    return records.without_names(table(spark, d, "well_list"), "well_id", ["Orrin Bench", "isfjell!", "--"]).groupBy("organization_id").agg(F.count("*").alias("n"))
+
+
+def a11_sum_check(spark: SparkSession, d: str) -> DataFrame:
+    l = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").cast("decimal(12,1)").cast("string").alias("printed"))
+    o = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg((F.sum(F.col("l_quantity").cast("decimal(12,1)")) + F.max(F.when(F.col("l_orderkey") % 4 == 0, 1).otherwise(0))).alias("total"), (F.count("*") + F.max(F.when(F.col("l_orderkey") % 7 == 0, 1).otherwise(0))).alias("expected"))
+    return records.sum_check(l, o, ["k"], "printed", "total", "expected")
+
+
+def a14_poisoned_sum(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").groupBy("source").agg(records.poisoned_sum(F.col("n_chars")).alias("total"), F.count("*").alias("n"))
+
+
+def a18_label_conflicts(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "stg_pump_config").select("source_document", "scenario_ordinal", F.col("is_design_scenario").alias("label"), F.lit("pump_config").alias("t"))
+    return records.label_conflicts(rows, ["source_document"], "scenario_ordinal", "label", "t")
+
+
+def a20_coverage(spark: SparkSession, d: str) -> DataFrame:
+    cells = typed.unpivot(table(spark, d, "stg_pump_config").where("vendor_family is not null and source_document is not null"), ["vendor_family", "source_document"], ["manufacturer", "section_role", "stages", "top_md_ft", "stages_per_housing_as_printed"])
+    return records.coverage(cells, "vendor_family", "source_document", "column")
+
+
+def a20_expected_missing(spark: SparkSession, d: str) -> DataFrame:
+    cells = typed.unpivot(table(spark, d, "stg_pump_config").where("vendor_family is not null and source_document is not null"), ["vendor_family", "source_document"], ["manufacturer", "section_role", "stages", "top_md_ft"])
+    return records.expected_missing(cells, "vendor_family", "source_document", "column", 0.7)
+
+
+def a22_rates(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.unix_timestamp(F.max("ts")).alias("last"), F.unix_timestamp(F.min("ts")).alias("first"))
+    return e.select("user_id", "n", records.rate(F.col("n").cast("double") * 1000, F.col("last"), F.col("first")).alias("per_1000s"))
+
+
+def w12_misplaced(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "stg_pump_config").withColumn("number", F.col("section_order").try_cast("int"))
+    return records.misplaced(rows, ["source_document", "scenario_ordinal"], ["section_order", "config_id"], "number").select("config_id", "position", "misplaced")
+
+
+def w13_latest_committed(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    done = table(spark, d, "lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return records.latest_committed(v, done, ["o_custkey"], "o_orderkey", ["o_orderdate", "o_orderkey"])
+
+
+def j4_cascade_match(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "lineitem").select((F.col("l_orderkey") % 500).alias("k"), "l_linestatus", F.when(F.col("l_suppkey") % 3 == 0, F.col("l_returnflag")).alias("flag"))
+    old, new = a.where("k % 7 <> 0"), a.where("k % 11 <> 0").withColumn("flag", F.when(F.col("k") % 13 == 0, "Z").otherwise(F.col("flag")))
+    return records.cascade_match(old, new, ["k", "l_linestatus", "flag"], ["k", "l_linestatus"])
+
+
+def d8_parity(spark: SparkSession, d: str) -> DataFrame:
+    old, new = _versions(spark, d)
+    return records.parity(old, new, ["k", "name", "bal"], F.col("name").endswith("3"))
+
+
+def d9_causes(spark: SparkSession, d: str) -> DataFrame:
+    old = table(spark, d, "stg_pump_config").groupBy("source_document", F.concat_ws("/", "scenario_ordinal", "section_order").alias("key")).agg(F.min("stages").alias("v")).where("v is not null and source_document is not null")
+    new = table(spark, d, "stg_pump_config_copy").groupBy("source_document", F.concat_ws("/", "scenario_ordinal", "section_order").alias("key")).agg(F.min("stages").alias("v")).where("v is not null and source_document is not null")
+    return records.causes(old, new, ["source_document"], "key", "v").groupBy("cause").agg(F.count("*").alias("n"))
+
+
+def d11_new_items(spark: SparkSession, d: str) -> DataFrame:
+    now = table(spark, d, "orders").where("o_totalprice < 5000").select("o_custkey", "o_orderpriority").distinct()
+    before = table(spark, d, "orders").where("o_totalprice < 3000").select("o_custkey", "o_orderpriority").distinct()
+    return records.new_items(now, before, ["o_custkey", "o_orderpriority"])
+
+
+def r17_series(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "stg_curve_observations").select("vendor_family", "point_type", F.replace("flow_as_printed", F.lit(","), F.lit("")).try_cast("double").alias("x"), F.replace("head_as_printed", F.lit(","), F.lit("")).try_cast("double").alias("y"))
+    return records.series(t, ["vendor_family", "point_type"], "x", "y")
+
+
+def r16_queue_state(spark: SparkSession, d: str) -> DataFrame:
+    age = F.unix_timestamp(F.lit("2024-01-20").cast("timestamp")) - F.unix_timestamp("ts")
+    return table(spark, d, "events").select("event_id", records.queue_state(age, F.col("user_id") % 3, 2).alias("state"))
+
+
+def r25_unique_labels(spark: SparkSession, d: str) -> DataFrame:
+    return records.unique_labels(table(spark, d, "part").select("p_partkey", "p_brand"), "p_brand", "p_partkey", "label")
+
+
 # ---- streaming
 def _stream_dir(spark: SparkSession, name: str) -> str:
     root = shared_dir(spark).removeprefix("file:").replace("//", "/") if shared_dir(spark).startswith(("file:", "/")) else None
@@ -420,5 +543,5 @@ def _as_folder(d: str, name: str, out: str) -> str:
     return folder
 
 
-_NAMES = ("w", "v", "a", "typing", "expr", "e", "j", "d", "u", "k", "o", "s", "t", "rule", "r", "st")
+_NAMES = ("rec", "w", "v", "a", "typing", "expr", "e", "j", "d", "u", "k", "o", "s", "t", "rule", "r", "st")
 QUERIES = {n: f for n, f in list(globals().items()) if callable(f) and not n.startswith("_") and getattr(f, "__module__", "") == __name__ and n.split("_")[0].rstrip("0123456789") in _NAMES}

@@ -176,3 +176,35 @@ def test_routing(spark):
     pages = spark.createDataFrame([("d", 1, ["cover"], "x"), ("d", 2, [], "y"), ("d", 3, ["plot"], "z"), ("d", 4, None, None)], "d string, p int, roles array<string>, t string")
     got = {r.p: (r.role, r.kept, r.new_no) for r in routing.keep_pages(pages, "d", "p", "roles", "t", ["plot"]).collect()}
     assert got == {1: ("cover", True, 1), 2: ("cover", True, 2), 3: ("plot", False, None), 4: ("plot", True, 3)}
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", "/a/b")], "z int, a string, p string")
+    sinks.write_grain(df, str(tmp_path / "g"))
+    assert spark.read.parquet(str(tmp_path / "g")).count() == 1
+    sinks.write_jsonl(df, str(tmp_path / "j"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "j")).collect()] == ['{"a":"x","p":"/a/b","z":1}']
+    sinks.write_manifest(df, str(tmp_path / "m"), ["z", "a"])
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "m")).collect()) == ["1,x", "z,a"]
+    assert df.select(sinks.relocate(F.col("p"), "/a", "/c").alias("p")).collect()[0].p == "/c/b"
+    meta = sinks.sidecar(spark.createDataFrame([("n", {"k": "v"})], "name string, metadata map<string,string>"), "/x").collect()[0]
+    assert (meta.file, meta.metadata) == ("/x/.n.metadata.json", '{"k":"v"}')
+    log = spark.createDataFrame([(1, "old", 1), (2, "old", 1)], "k int, s string, at int")
+    up = sinks.upsert(log, spark.createDataFrame([(1, "new", 1), (3, "new", 0)], "k int, s string, at int"), ["k"], "at")
+    assert sorted((r.k, r.s) for r in up.collect()) == [(1, "new"), (2, "old"), (3, "new")]
+
+
+def test_dimensions(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text("Fam,Printed,Canon\nF1,Ab,one\nF1,aB ,two\n")
+    assert [r.Canon for r in dimensions.csv_dimension(spark, str(tmp_path / "seed.csv"), ["Fam", "Printed"]).collect()] == ["two"]
+    rows, skipped = dimensions.list_query(spark.createDataFrame([("a", None), (" ", "x"), (None, "y")], "k string, v string"), ["k", "v"], "k")
+    assert [tuple(r) for r in rows.collect()] == [("a", "")] and skipped.collect()[0].skipped == 2
+    (tmp_path / "v.jsonl").write_text('{"a": 1}\n[1]\nbad\n')
+    assert [(r.obj, r.dropped) for r in dimensions.viewer_lines(spark, str(tmp_path / "v.jsonl")).collect()] == [('{"a": 1}', False), ('{"value":"[1]"}', False), (None, True)]
+    (tmp_path / "asset.txt").write_text("content")
+    import hashlib
+
+    good = spark.createDataFrame([("asset.txt", hashlib.sha256(b"content").hexdigest())], "name string, sha256 string")
+    assert bytes(dimensions.verified_asset(spark, str(tmp_path / "asset.txt"), good).collect()[0].content) == b"content"
+    with pytest.raises(Exception, match="hash differs"):
+        dimensions.verified_asset(spark, str(tmp_path / "asset.txt"), good.withColumn("sha256", F.lit("0"))).collect()
