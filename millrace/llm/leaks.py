@@ -172,7 +172,9 @@ def compare(items: Items, doc_words: list[str]) -> list[tuple[int, float, int, f
         n, found = len(items.words[item]), matches(seeds)
         tiles = tile(found, n)
         covered = sum(t[2] for t in tiles) / n
-        out.append((item, covered, len(tiles), best_in_order(found, n) / n if covered >= COVERAGE else 0.0))
+        # tiles never overlap, so what all matches touch bounds any order of them from above
+        touched = len({p + k for _, p, m in found for k in range(m)}) / n
+        out.append((item, covered, len(tiles), best_in_order(found, n) / n if touched >= COVERAGE else 0.0))
     return out
 
 
@@ -201,11 +203,11 @@ def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id): tiles cover enough of the item, and the exact check finds it in order in one passage."""
-    return tiles(documents, items).where((F.col("coverage") >= COVERAGE) & (F.col("in_order") >= COVERAGE)).select("doc_id", "item_id")
+    """(doc_id, item_id) of the tiled pairs for which the exact check finds enough of the item in order in one passage."""
+    return tiles(documents, items).where(F.col("in_order") >= COVERAGE).select("doc_id", "item_id")
 
 
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(item_id, n_docs, most) of every leaked item."""
-    hit = tiles(documents, items).where((F.col("coverage") >= COVERAGE) & (F.col("in_order") >= COVERAGE))
-    return hit.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.max("in_order").alias("most"))
+    """(item_id, n_docs, n_in_order, most) of every item that tiles cover in some document, reordered or not."""
+    hit = tiles(documents, items).where(F.col("coverage") >= COVERAGE)
+    return hit.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.count_if(F.col("in_order") >= COVERAGE).alias("n_in_order"), F.max("in_order").alias("most"))
