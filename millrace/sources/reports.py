@@ -14,9 +14,9 @@ FENCE = "```"
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """(report_id, text) of every ``*.md`` below ``path``; the id is the file name."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.md")
-    return files.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("report_id"), F.col("value").alias("text"))
+    """(report_id, text) of every ``*.md`` below ``path``; the id is the file name, bad bytes are replaced. A file of no bytes is no report."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("report_id"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
 
 def lines(reports: DataFrame) -> DataFrame:
