@@ -1,5 +1,7 @@
 """DuckDB twins of the named queries."""
 
+from millrace.functions.typed import UNIT_DIMENSION
+
 _BRANDS = ", ".join(f"'Brand#{i}'" for i in range(11, 26))
 
 _VERSIONS = """
@@ -78,6 +80,21 @@ _DIFF = f"""
     union all select p.source_document, p.scenario_ordinal, p.section_order, '*', 'only_port' from p where not exists (select 1 from r where {_SAME})
     union all {" union all ".join(_field_category(f, f in _NUMERIC) for f in _FIELDS)}"""
 
+_UNITS = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v or "none") for k, v in UNIT_DIMENSION.items())
+
+_CELLS = f"""
+    unit_names(unit, ud) as (values {_UNITS}),
+    c as (unpivot (select config_id, stages, housing_count, top_md_ft, bottom_md_ft, is_design_scenario from stg_pump_config) on stages, housing_count, top_md_ft, bottom_md_ft, is_design_scenario into name "column" value raw),
+    t as (select *, trim(raw) as t, "column" = 'is_design_scenario' as is_bool, "column" in ('stages', 'housing_count') as is_int, case when "column" like '%_ft' then 'length' end as dim from c),
+    n as (select *, regexp_matches(t, '^[-+]?[\\d,.]+\\s*(-|–|to)\\s*[\\d,.]+') as rng, try_cast(replace(regexp_extract(t, '^([-+]?[\\d,]*\\.?\\d+)\\s*(.*)$', 1), ',', '') as double) as v, trim(regexp_extract(t, '^([-+]?[\\d,]*\\.?\\d+)\\s*(.*)$', 2)) as rest from t),
+    b as (select *, trim(regexp_replace(rest, '\\([^)]*\\)', '', 'g')) as bare from n),
+    u as (select *, case when rng then '' else lower(trim(case when bare <> '' then bare else rest end, '.,; ')) end as unit from b),
+    w as (select u.*, unit_names.ud from u left join unit_names using (unit)),
+    y as (select *, case when t = '' then 'empty_string' when is_bool then case when lower(t) not in ('true', 'yes', 'y', 'false', 'no', 'n') then 'not_boolean' end when rng then 'range_not_scalar' when v is null then 'not_numeric'
+        when ud is null and regexp_matches(unit, '\\d') then 'composite_value' when unit <> '' and ud is null then 'unrecognized_unit_token' when unit <> '' and ud <> 'none' and dim is not null and ud <> dim then 'unit_dimension_mismatch' end as why from w),
+    cells as (select config_id, "column", raw, case when why is not null and why <> 'unrecognized_unit_token' then null when is_bool then case when lower(t) in ('true', 'yes', 'y') then 1.0 else 0.0 end when is_int and abs(v - round(v)) > 1e-9 then null else v end::double as value,
+        case when not is_bool and unit <> '' then unit end as unit, coalesce(why, case when is_int and abs(v - round(v)) > 1e-9 then 'non_integer_in_integer_column' end) as reason from y)"""
+
 ORACLE = {
     "w1_latest_per_key": """
         select * exclude (rn) from (
@@ -135,6 +152,8 @@ ORACLE = {
         with o as (select o_custkey, count_if(month(o_orderdate) <= 6) as a, count_if(month(o_orderdate) > 6) as b from orders group by o_custkey)
         select o_custkey, a::bigint as a, b::bigint as b, case when a > 0 then round((b - a) * 100.0 / a, 2)::double end as delta from o""",
     "a16_fingerprint": "select sha256(text) as fingerprint, count(*) as n, count(distinct source) as n_parents, min(doc_id) as first_key from documents where text is not null group by 1 having count(*) > 1",
+    "typing_parse_scalar": f"with {_CELLS} select * from cells",
+    "typing_quarantine": f"""with {_CELLS} select "column", reason, count(*) as n, min(raw) as least from cells where reason is not null group by all""",
     "typing_props": """
         select key, count(*) as n, sum(try_cast(v as bigint))::bigint as total from (
             select unnest(json_keys(props)) as key, json_extract_string(props, unnest(json_keys(props))) as v from events) where key not in ('ref', 'source') group by key""",
@@ -253,6 +272,21 @@ ORACLE = {
     "st_confirm": """
         select cast(o_orderkey as varchar) as confirmation_id, o_custkey, coalesce(nullif(concat_ws(',', case when o_custkey is null then 'customer' end,
             case when not coalesce(o_totalprice > 1000, false) then 'price' end, case when not coalesce(o_orderstatus <> 'P', false) then 'closed' end), ''), 'accepted') as result from orders""",
+    "s4_jsonl": """
+        with l as (select block, trim(raw_line, ' ') as t from raw_lines where source_file like '%.md' and raw_line is not null)
+        select block, count(*) as n, count_if(not coalesce(t like '{%' and t like '%}' and json_valid(t), false))::bigint as n_broken from l where t <> '' and t not like '```%' group by block""",
+    "d9_causes": """
+        with o as (select source_document as s, concat_ws('/', scenario_ordinal, section_order) as k, min(stages) as v from stg_pump_config where source_document is not null group by all having min(stages) is not null),
+        n as (select source_document as s, concat_ws('/', scenario_ordinal, section_order) as k, min(stages) as v from stg_pump_config_copy where source_document is not null group by all having min(stages) is not null)
+        select case when exists (select 1 from n where n.s = o.s and n.v = o.v) then 'moved' when m.v is null then 'missing' when regexp_extract(o.v, '[\\d.,]+') <> '' and try_cast(replace(regexp_extract(o.v, '[\\d,]*\\.?\\d+'), ',', '') as double) = try_cast(replace(regexp_extract(m.v, '[\\d,]*\\.?\\d+'), ',', '') as double)
+            and (trim(regexp_replace(lower(o.v), '[\\d.,()]+', ' ', 'g')) = trim(regexp_replace(lower(m.v), '[\\d.,()]+', ' ', 'g')) or not regexp_matches(o.v, '[a-z]') or not regexp_matches(m.v, '[a-z]')) then 'format' else 'genuine' end as cause, count(*) as n
+        from o left join n m on m.s = o.s and m.k = o.k where o.v is distinct from m.v group by 1""",
+    "e9_unknown_models": """
+        with n as (select distinct pump_model_as_printed as p from stg_pump_config), c as (select pump_model_canonical as m, bool_or(curve_basis is not null) as curve from pump_catalogue where pump_model_canonical is not null group by 1),
+        ke as (select m, regexp_replace(lower(m), '[^\\pL\\pN\\pM]', '', 'g') as key, lower(trim(m)) as ck from c),
+        a as (select p, coalesce((select list(m) from ke where m = p), (select list(m) from ke where ck = lower(trim(p))), (select list(m) from ke where key = nullif(regexp_replace(lower(p), '[^\\pL\\pN\\pM]', '', 'g'), ''))) as hits from n),
+        k as (select case when p is null or trim(p) = '' then 'unresolved' when len(hits) > 1 then 'ambiguous' when hits is null then 'absent' when not (select curve from c where m = hits[1]) then 'no_head_curve' end as class from a)
+        select class, count(*) as n from k where class is not null group by class""",
     # record-level operators
     "rec_collapse": """
         with r as (select *, o_orderstatus = 'O' as open, case when o_custkey % 5 <> 0 then o_orderpriority end as p from orders)
@@ -320,5 +354,14 @@ ORACLE = {
     "p5_found": _DIFF,
     "p5_verdict": f"select field_name, category, count(*) as n from ({_DIFF}) group by all",
     "p6_found": f"with {_REFS} select * from orphan",
+    "p6_partial": f"""
+        with {_REFS},
+        half as (select r.table_name, r.row_id, r.ts, min(l.listed_at) as first, coalesce(bool_or(l.listed_at <= r.ts and (l.removed_at is null or r.ts < l.removed_at)), false) as alive
+            from refs r left join (select distinct well_id, listed_at, removed_at from well_list) l on l.well_id = r.w where r.o is null and r.w is not null group by all
+            union all
+            select r.table_name, r.row_id, r.ts, min(l.listed_at), coalesce(bool_or(l.listed_at <= r.ts and (l.removed_at is null or r.ts < l.removed_at)), false)
+            from refs r left join (select distinct organization_id, listed_at, removed_at from well_list) l on l.organization_id = r.o where r.w is null and r.o is not null group by all),
+        found as (select table_name, period, orphan_kind from orphan union all select table_name, strftime(ts, '%Y-%m'), case when first is null then 'missing' when first > ts then 'late' else 'deleted' end from half where not alive)
+        select table_name, period, orphan_kind, count(*) as n_rows from found group by all""",
     "p6_report": f"with {_REFS} select table_name, period, orphan_kind, count(*) as n_rows from orphan group by all",
 }

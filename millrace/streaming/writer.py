@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def confirm_stream(spark: SparkSession, requests: DataFrame, checks: dict[str, s
         checked = problems(batch, checks)
         try:
             committed = spark.read.parquet(f"{path}/rows")
-        except Exception:  # nothing is committed yet
+        except AnalysisException:  # nothing is committed yet
             committed = None
         commit_rows(checked, committed).write.mode("append").parquet(f"{path}/rows")
         checked.where(F.size("problems") > 0).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{path}/refused")
@@ -43,11 +44,8 @@ def latest_stream(spark: SparkSession, stream: DataFrame, keys: list[str], order
     def write(batch: DataFrame, batch_id: int) -> None:
         values = [c for c in batch.columns if c not in keys]
         rows = batch
-        if batch_id > 0:
-            try:
-                rows = spark.read.parquet(f"{path}/v={batch_id - 1}").drop("v").unionByName(batch)
-            except Exception:  # no earlier version
-                rows = batch
+        if batch_id > 0:  # a version is written whole before the next batch begins
+            rows = spark.read.parquet(f"{path}/v={batch_id - 1}").unionByName(batch)
         windows.arg_max(rows, keys, values, order).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
