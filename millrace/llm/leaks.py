@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.words import words
+from millrace.session import spread
 
 MIN_RUN = 10
 COVERAGE = 0.45
@@ -186,7 +187,7 @@ def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
     """
     held = [(int(r[0]), r[1]) for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().toLocalIterator()]
     held.sort(key=lambda r: r[0])
-    texts = documents.select("doc_id", "text").where("text is not null and length(text) >= 20")
+    texts = spread(documents.select("doc_id", "text").where("text is not null and length(text) >= 20"), "doc_id")
     out = None
     for a in range(0, max(len(held), 1), BLOCK):
         block = held[a : a + BLOCK]

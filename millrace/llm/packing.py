@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import cut
+from millrace.session import cut, spread
 
 CAPACITY = 2048
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -64,7 +64,7 @@ def token_pieces(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str
                 rows += [(doc, i, at, min(capacity, n - at)) for i, at in enumerate(range(0, max(n, 1), capacity))]
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "first_token", "n_tokens"])
 
-    return documents.select("doc_id", "text").mapInPandas(count, PIECES)
+    return spread(documents.select("doc_id", "text"), "doc_id").mapInPandas(count, PIECES)
 
 
 def sparse_least_squares(lengths: np.ndarray, repeats: np.ndarray, hist: np.ndarray, passes: int = 4) -> np.ndarray:

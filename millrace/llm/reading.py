@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.words import words
+from millrace.session import spread
 
 #: Bound of the labelled sample the grades and the calibration are fitted on; the hash of doc_id picks it.
 MAX_LABELLED = 50_000
@@ -145,7 +146,7 @@ def fit(documents: DataFrame, reading_labels: DataFrame, train_share: float = 1.
     over = known.count() / MAX_LABELLED
     if over > 1:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("bound")), F.lit(1_000_000)) < F.lit(int(1_000_000 / over)))
-    sample = documents.select("doc_id", "text").where("text is not null").join(known, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
+    sample = documents.select("doc_id", "text").where("text is not null").join(known, "doc_id").repartition(documents.sparkSession.sparkContext.defaultParallelism, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
     grades = word_grades(sample.where("half = 0").select("level", "text"))
     table = Grades(grades)
 
@@ -187,7 +188,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
 
-    return documents.select("doc_id", "text").mapInPandas(judge, RESULT)
+    return spread(documents.select("doc_id", "text"), "doc_id").mapInPandas(judge, RESULT)
 
 
 def reading_levels(documents: DataFrame, reading_labels: DataFrame) -> DataFrame:
