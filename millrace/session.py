@@ -59,7 +59,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """``df`` in at least as many partitions as there are cores, for Python stages that cost far more than their bytes.
 
     A table in many files is read in many partitions anyway and is left as it is; only one that
-    lies in a few files is shuffled, by ``key``. No row is lost either way.
+    lies in a few files is shuffled, by ``key``. No row is lost either way. ``df`` must be a plain
+    scan: to count the partitions of a plan with exchanges would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
