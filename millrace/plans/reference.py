@@ -191,7 +191,7 @@ def e5_family_free(spark: SparkSession, d: str) -> DataFrame:
 
 def e6_catalogue(spark: SparkSession, d: str) -> DataFrame:
     found = resolve.catalogue_lookup(table(spark, d, "stg_pump_config"), "pump_model_as_printed", table(spark, d, "pump_catalogue"), "pump_model_canonical")
-    return found.where("printed is not null").where(~F.col("printed").rlike(r"[^\x00-\x7f]"))
+    return found.where("printed is not null")
 
 
 def e9_unknown_models(spark: SparkSession, d: str) -> DataFrame:
