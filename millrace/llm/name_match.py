@@ -109,9 +109,9 @@ class Trie:
                 return set()
         return node.get("", set())
 
-    def within(self, word: str, k: int) -> dict[int, int]:
-        """entry -> distance, of every entry with a path at distance ``k`` or less."""
-        auto, found = Automaton(word, k), {}
+    def within(self, word: str, k: int, auto: Automaton | None = None) -> dict[int, int]:
+        """entry -> distance, of every entry with a path at distance ``k`` or less; ``auto`` is the word's automaton, if it stands already."""
+        auto, found = auto or Automaton(word, k), {}
         stack = [(self.root, auto.start)]
         while stack:
             node, state = stack.pop()
@@ -192,7 +192,14 @@ class NameList:
         if not hits:
             hits, how = dict.fromkeys(self.alias.at(key), 0), "alias"
         if not hits:
-            hits, how = self.trie.within(key, allowed(len(key))), "name"
+            k = allowed(len(key))
+            auto = Automaton(key, k)
+            hits, how = self.trie.within(key, k, auto), "name"
+            alias = self.alias.within(key, k, auto)
+            if alias and (not hits or min(alias.values()) < min(hits.values())):
+                how = "alias"
+            for e, d in alias.items():
+                hits[e] = min(d, hits.get(e, d))
         if not hits:
             return set(), 0, "none"
         best = min(hits.values())

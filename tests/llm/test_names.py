@@ -38,6 +38,19 @@ def test_ladder():
     assert {k: names.resolve(k)[0] for k in cases} == cases
 
 
+def test_alias_with_a_typo():
+    names = N.NameList(ENTRIES)
+    cases = {"6880T Zakwl": (1, "alias", 1), "Zkl 688T": (1, "alias", 1), "562-890 Davom": (2, "alias", 1), "Zakwl 6880T": (1, "name", 1), "Zxyl 688T": (-1, "unmatched", 0)}
+    assert {k: names.resolve(k) for k in cases} == cases
+    # the nearest over both tries, and several at one distance are no answer
+    both = N.NameList([(1, "Abcd 123", None), (2, "123 Abxd", None), (3, "Efgh 456", None), (4, "456 Exfgh", None)])
+    assert both.resolve("Abcd 12")[0] == 1
+    near = {e: min(osa("abcx123", p) for p in paths) for e, paths in {1: ("abcd123", "123abcd"), 2: ("123abxd", "abxd123")}.items()}
+    assert near == {1: 1, 2: 2} and both.resolve("Abcx 123") == (1, "name", 1)
+    tied = N.NameList([(1, "Abcde 123", None), (2, "123 Abcdf", None)])
+    assert tied.resolve("Abcdg 123") == (-1, "ambiguous", 1)
+
+
 def test_table(spark):
     rows = spark.createDataFrame([(1, "zakel 6880t", "a"), (1, "zakel 6880t", "a"), (2, None, "b"), (3, "  ", "c"), (4, "x" * 20_000, "d"), (5, "", "e")], "config_id long, printed string, model_id string")
     ref = spark.createDataFrame(ENTRIES + [(9, None, None), (None, "Nothing 1", None)], "id long, name string, maker string")
