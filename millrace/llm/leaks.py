@@ -138,7 +138,8 @@ def best_in_order(found: list[tuple[int, int, int]], n_item: int) -> int:
     found = sorted(found)
     begins, longest = [m[0] for m in found], max((m[2] for m in found), default=0)
     best = 0
-    for s in {m[0] for m in found} | {m[0] + m[2] - width for m in found}:
+    # what a window holds changes its slope only where a match begins or ends at its edge or is cut to MIN_RUN words
+    for s in {s for d, _, n in found for s in (d, d + n - width, d + n - MIN_RUN, d + MIN_RUN - width)}:
         inside = []
         for d, p, n in islice(found, bisect_left(begins, s - longest), None):
             if d >= s + width:

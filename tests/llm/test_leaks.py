@@ -45,6 +45,29 @@ def test_tiles_and_order():
     assert L.compare(items, []) == []
 
 
+def test_windows_that_cut_both_outer_matches():
+    rng = random.Random(9)
+    item = [f"w{i}" for i in range(60)]
+    filler = lambda n: [f"f{rng.randrange(500)}" for _ in range(n)]
+    items = L.Items([(7, " ".join(item))])
+
+    def best(doc):
+        return max((round(r[3] * 60) for r in compare_all(doc)), default=0)
+
+    def compare_all(doc):
+        found = L.matches(items.seeds(L.np.array([items.ids.get(w, 0) for w in doc], L.np.uint64)).get(7, []))
+        return [(7, 0, 0, L.best_in_order(found, 60) / 60)] if found else []
+
+    assert best(item[0:25] + filler(60) + item[30:55]) == 30
+    for _ in range(60):
+        doc = []
+        for _ in range(rng.randrange(2, 5)):
+            a = rng.randrange(45)
+            doc += item[a : a + rng.randrange(10, 30)] + filler(rng.randrange(5, 60))
+        # a passage of 90 words alone fits one window, whatever starts are tried
+        assert best(doc) == max(best(doc[s : s + 90]) for s in range(len(doc)))
+
+
 def test_table(spark):
     item = " ".join(f"w{i}" for i in range(40))
     docs = spark.createDataFrame([(1, "x " + item, 5), (2, None, 5), (3, "", 5), (4, item.upper().replace(" w20", ", w20"), 5), (5, "y " * 50_000 + item, 5), (6, "nothing to see here at all today", 5), (1, "x " + item, 5)], "doc_id long, text string, item_id int")
