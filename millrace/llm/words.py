@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from millrace.llm.lookalike import char_map
 
@@ -17,9 +18,9 @@ _WORD = re.compile(r"\w+")
 
 
 def words(text: str) -> list[str]:
-    """Lower-case words; look-alike characters, page headings, line-end hyphens and punctuation aside."""
+    """Lower-case words; look-alike characters, accents set apart, page headings, line-end hyphens and punctuation aside."""
     if not text.isascii():
-        text = text.translate(_LOOK)
+        text = unicodedata.normalize("NFC", text.translate(_LOOK))
     if "\n" in text:
         if _MAY_HEAD.search(text):
             text = _HEADING.sub("", text)

@@ -13,6 +13,15 @@ def test_words():
     assert words("Тhe рump ﬁts") == "the pump fits".split()
 
 
+def test_combining_accents_make_one_word():
+    assert words("Pen\u0303a mun\u0303oz") == words("Pe\u00f1a mu\u00f1oz") == ["pe\u00f1a", "mu\u00f1oz"]
+    # a Cyrillic letter under the accent is mapped first
+    assert words("\u0435\u0308l") == ["\u00ebl"]
+    item = " ".join(f"w{i}" if i % 6 else f"n{i}\u00f1o" for i in range(40))
+    found = L.compare(L.Items([(7, item)]), words(item.replace("\u00f1", "n\u0303")))
+    assert found == [(7, 1.0, 1, 1.0)]
+
+
 def brute(item, doc):
     """(share that tiles could cover at most: any position in a shared run) by definition."""
     n = len(item)
