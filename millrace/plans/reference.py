@@ -260,8 +260,8 @@ def j7_anti(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j8_grounding(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "page_texts").where("page_text is not null").groupBy("report_id", "page_no").agg(F.min("page_text").alias("page_text"))
-    values = pages.select("report_id", F.concat_ws("#", "report_id", "page_no").alias("value_id"), F.regexp_extract("page_text", r"checksum (\d+)", 1).alias("value"), F.concat(F.lit("p"), F.col("page_no") - F.col("page_no") % 2).alias("cited"))
+    pages = table(spark, d, "page_texts").where("page_text is not null")
+    values = pages.select("report_id", F.col("page_id").cast("string").alias("value_id"), F.regexp_extract("page_text", r"checksum (\d+)", 1).alias("value"), F.concat(F.lit("p"), F.col("page_no") - F.col("page_no") % 2).alias("cited"))
     return grounding.ground(values, pages, ["report_id"], "value_id", "value", "cited", "page_no", "page_text")
 
 
