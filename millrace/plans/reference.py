@@ -486,8 +486,9 @@ def d9_causes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def d11_new_items(spark: SparkSession, d: str) -> DataFrame:
-    now = table(spark, d, "orders").where("o_totalprice < 5000").select("o_custkey", "o_orderpriority").distinct()
-    before = table(spark, d, "orders").where("o_totalprice < 3000").select("o_custkey", "o_orderpriority").distinct()
+    now = table(spark, d, "orders")
+    before = now.where("o_orderdate < date '1998-01-01'").select("o_custkey", "o_orderpriority").distinct()
+    now = now.select("o_custkey", "o_orderpriority").distinct()
     return records.new_items(now, before, ["o_custkey", "o_orderpriority"])
 
 
