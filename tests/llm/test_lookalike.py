@@ -24,3 +24,19 @@ def test_classes(spark):
     assert got[5] == (None, None)
     assert got[6][0] == got[7][0] == ""
     assert L.differing_texts(df.where("id < 0"), "t").count() == 0
+
+
+def test_composed_letters_of_other_scripts_and_more_signs(spark):
+    pairs = ["\u0388 \u00c9", "\u03cc \u00f3", "\u04e7 \u00f6", "\u04d3 \u00e4", "\u0450 \u00e8", "\u03b1 a", "\u03c1 p"]
+    rows = [(i, *x.split(" ")) for i, x in enumerate(pairs)] + [(20, "a\u2012b", "a-b"), (21, "a\u2013b", "a-b"), (22, "a\u2028b", "a\nb")]
+    apart = [(30, "\u03b6", "z"), (31, "\u043a", "k"), (32, "\u0443\u0301", "\u00fd "), (33, "a\u2014b", "a-b")]
+    df = spark.createDataFrame(rows + apart, "id int, a string, b string")
+    assert sorted(r.id for r in L.differing_pairs(df, "a", "b").collect()) == [r[0] for r in rows] + [32]
+
+
+def test_pairs_keep_rows_and_columns(spark):
+    df = spark.createDataFrame([(1, "\u0420", "P", "x", "y")] * 3 + [(2, None, "P", "x", "y")], "id int, a string, b string, __x string, canonical string")
+    got = L.differing_pairs(df.drop("__x"), "a", "b")
+    assert got.columns == ["id", "a", "b", "canonical"]
+    assert [r.id for r in got.collect()] == [1, 1, 1]
+    assert L.differing_pairs(df.where("id < 0").drop("__x"), "a", "b").count() == 0
