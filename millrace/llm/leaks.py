@@ -3,8 +3,10 @@
 Shared seeds come first: every run of ``MIN_RUN`` words of a test item is hashed, and a rolling
 Karp-Rabin hash over each document's words is looked up among them. Where seeds meet, maximal
 matches are grown and marked greedily, longest first, without overlap (running Karp-Rabin greedy
-string tiling); the tiles' share of the item catches reordered passages too. An exact check then
-tells whether one passage of the document holds enough of the item in the item's own order.
+string tiling). The share of the item that tiles cover is the threshold; it catches reordered
+passages too. Pairs that pass go to an exact check whether one passage of the document holds enough
+of the item in the item's own order. Greedy tiles are not always the best ones, so a pair whose
+tiles fall short passes too if the words in any match are enough.
 
 The items are the stated query set: they go to every task in blocks of bounded size, and each
 document is read once per block. No pair of documents is ever formed.
@@ -12,9 +14,9 @@ document is read once per block. No pair of documents is ever formed.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import heapq
+from collections import deque
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,8 @@ from millrace.session import spread
 MIN_RUN = 10
 COVERAGE = 0.45
 SPAN = 1.5
-#: Items a task holds at once; more are worked through block by block.
-BLOCK = 20_000
+#: Items and characters of items a task holds at once; more are worked through block by block.
+BLOCK, BLOCK_CHARS = 20_000, 50_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 RESULT = "doc_id long, item_id long, coverage double, n_tiles int, in_order double"
@@ -69,8 +71,8 @@ class Items:
         order = np.argsort(h, kind="stable")
         self.hash, self.owner, self.at = h[order].astype(np.uint64), o[order], p[order]
 
-    def seeds(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
-        """item -> [(document position, item position)] of the shared runs."""
+    def seeds(self, ids: np.ndarray) -> dict[int, np.ndarray]:
+        """item -> rows (document position, item position) of the shared runs."""
         if len(ids) < MIN_RUN or not len(self.hash):
             return {}
         # a run needs MIN_RUN known words; most documents end here
@@ -80,93 +82,142 @@ class Items:
             return {}
         h = rolling(ids)[full]
         a, b = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
-        out: dict[int, list[tuple[int, int]]] = {}
-        for i in np.flatnonzero(b > a):
-            d = int(full[i])
-            for j in range(a[i], b[i]):
-                item, p = int(self.owner[j]), int(self.at[j])
-                if np.array_equal(ids[d : d + MIN_RUN], self.words[item][p : p + MIN_RUN]):
-                    out.setdefault(item, []).append((d, p))
+        met = np.flatnonzero(b > a)
+        if not len(met):
+            return {}
+        n = (b - a)[met]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        j = np.repeat(a[met], n) + within
+        d, item, p = np.repeat(full[met], n), self.owner[j], self.at[j]
+        out = {}
+        for one in np.unique(item):
+            here = item == one
+            pairs = np.stack([d[here], p[here]], 1)
+            same = np.ones(len(pairs), bool)
+            for k in range(MIN_RUN):  # equal hashes may still be other words
+                same &= ids[pairs[:, 0] + k] == self.words[int(one)][pairs[:, 1] + k]
+            if same.any():
+                out[int(one)] = pairs[same]
         return out
 
 
-def matches(seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """Maximal matches (document start, item start, length) from seeds."""
-    out = []
-    for d, p in sorted(seeds, key=lambda s: (s[0] - s[1], s[0])):
-        if out and out[-1][0] - out[-1][1] == d - p and d == out[-1][0] + out[-1][2] - MIN_RUN + 1:
-            out[-1] = (out[-1][0], out[-1][1], out[-1][2] + 1)
-        else:
-            out.append((d, p, MIN_RUN))
-    return out
+def matches(seeds: np.ndarray) -> list[tuple[int, int, int]]:
+    """Maximal matches (document start, item start, length), from seeds: seeds in a row on one diagonal are one match."""
+    d, p = np.asarray(seeds, np.int64).reshape(-1, 2).T
+    order = np.lexsort((d, d - p))
+    d, p = d[order], p[order]
+    if not len(d):
+        return []
+    starts = np.flatnonzero(np.concatenate(([True], (np.diff(d - p) != 0) | (np.diff(d) != 1))))
+    runs = np.diff(np.append(starts, len(d)))
+    return list(zip(d[starts].tolist(), p[starts].tolist(), (runs + MIN_RUN - 1).tolist(), strict=True))
 
 
 def tile(found: list[tuple[int, int, int]], n_item: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: again and again the longest match none of whose words is marked."""
-    marked_doc: set[int] = set()
-    marked = np.zeros(n_item, bool)
-    tiles, heap = [], sorted(found, key=lambda m: (m[2], -m[0], -m[1]))
-    while heap:
-        d, p, n = heap.pop()
-        free = [not marked[p + k] and d + k not in marked_doc for k in range(n)]
-        if all(free):
+    if not found:
+        return []
+    begin = min(d for d, _, _ in found)
+    free_doc, free_item = np.ones(max(d + n for d, _, n in found) - begin, bool), np.ones(n_item, bool)
+    tiles, heap = [], [(-n, d, p) for d, p, n in found]
+    heapq.heapify(heap)
+    left = n_item
+    while heap and left >= MIN_RUN:
+        n, d, p = heapq.heappop(heap)
+        n = -n
+        free = free_item[p : p + n] & free_doc[d - begin : d - begin + n]
+        if free.all():
             tiles.append((d, p, n))
-            marked[p : p + n] = True
-            marked_doc.update(range(d, d + n))
+            free_item[p : p + n] = free_doc[d - begin : d - begin + n] = False
+            left -= n
             continue
-        k = 0  # what is left of it comes back as shorter matches, in their place
-        while k < n:
-            if free[k]:
-                e = k
-                while e < n and free[e]:
-                    e += 1
-                if e - k >= MIN_RUN:
-                    part = (d + k, p + k, e - k)
-                    at = len(heap)
-                    while at and heap[at - 1][2] > part[2]:
-                        at -= 1
-                    heap.insert(at, part)
-                k = e
-            else:
-                k += 1
+        # what is left of it comes back as shorter matches, in their place
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], free, [False])).astype(np.int8)))
+        for k, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            if e - k >= MIN_RUN:
+                heapq.heappush(heap, (k - e, d + k, p + k))
     return tiles
 
 
+class Passages:
+    """How much of an item any one passage of a document holds, by dynamic programming over the words they share."""
+
+    def __init__(self, found: np.ndarray, n_item: int, width: int):
+        self.n, self.width = n_item, width
+        length = found[:, 2]
+        k = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        row, col = np.repeat(found[:, 0], length) + k, np.repeat(found[:, 1], length) + k
+        order = np.lexsort((col, row))
+        row, self.col, self.run = row[order], col[order], np.minimum(k[order] + 1, MIN_RUN)
+        self.rows, self.first = np.unique(row, return_index=True)
+        self.last = np.append(self.first[1:], len(row))
+
+    def held(self, start: int) -> int:
+        """Most item words, in order and in runs of MIN_RUN or more, in the passage from ``start``.
+
+        ``ends[j]`` is the best sum whose last run ends with item word j in this row, ``best[j]`` the
+        best sum over all rows so far and item words before j. Each row extends the runs of the row
+        before or begins one MIN_RUN words back.
+        """
+        a, b = np.searchsorted(self.rows, (start, start + self.width))
+        best = np.zeros(self.n + 1, np.int64)
+        kept: deque[tuple[int, np.ndarray]] = deque([(start - MIN_RUN, best)])
+        ends, before = None, -2
+        for i in range(a, b):
+            row = int(self.rows[i])
+            cols, run = self.col[self.first[i] : self.last[i]], self.run[self.first[i] : self.last[i]]
+            while len(kept) > 1 and kept[1][0] <= row - MIN_RUN:
+                kept.popleft()
+            now = np.zeros(self.n + 1, np.int64)
+            if row - start + 1 >= MIN_RUN:
+                whole = run >= MIN_RUN
+                c = cols[whole]
+                now[c] = kept[0][1][c - MIN_RUN + 1] + MIN_RUN
+                if ends is not None and before == row - 1:
+                    inner = cols[cols > 0]
+                    grown = ends[inner - 1]
+                    now[inner] = np.maximum(now[inner], np.where(grown > 0, grown + 1, 0))
+            ends, before = now, row
+            if now.any():
+                best = np.maximum(best, np.concatenate(([0], np.maximum.accumulate(now[:-1]))))
+                kept.append((row, best))
+        return int(best[-1])
+
+
 def best_in_order(found: list[tuple[int, int, int]], n_item: int) -> int:
-    """Most item words that one passage of SPAN times the item's length holds in order, in runs of MIN_RUN or more."""
-    width = int(SPAN * n_item)
-    found = sorted(found)
-    begins, longest = [m[0] for m in found], max((m[2] for m in found), default=0)
-    best = 0
-    # what a window holds changes its slope only where a match begins or ends at its edge or is cut to MIN_RUN words
-    for s in {s for d, _, n in found for s in (d, d + n - width, d + n - MIN_RUN, d + MIN_RUN - width)}:
-        inside = []
-        for d, p, n in islice(found, bisect_left(begins, s - longest), None):
-            if d >= s + width:
-                break
-            cut = max(0, s - d)
-            left = min(n, s + width - d) - cut
-            if left >= MIN_RUN:
-                inside.append((d + cut, p + cut, left))
-        if sum(m[2] for m in inside) <= best:
-            continue
-        score = [0] * len(inside)
-        for i, (d, p, n) in enumerate(inside):
-            score[i] = n
-            for j in range(i):
-                dj, pj, nj = inside[j]
-                if dj < d and pj < p:
-                    lap = max(0, dj + nj - d, pj + nj - p)
-                    if n - lap >= MIN_RUN:
-                        score[i] = max(score[i], score[j] + n - lap)
-                    elif nj - lap >= MIN_RUN:
-                        score[i] = max(score[i], score[j] - lap + n)
-        best = max(best, *score)
-    return best
+    """Most item words that one passage of SPAN times the item's length holds in order, in runs of MIN_RUN or more.
+
+    Exact over all passages, of which few are tried: no passage holds more than the words of it that
+    stand in matches, and one that begins k words on holds at most k more than this one.
+    """
+    found = np.asarray(found, np.int64).reshape(-1, 3)
+    if not len(found):
+        return 0
+    begin, end = int(found[:, 0].min()), int((found[:, 0] + found[:, 2]).max())
+    width = max(int(SPAN * n_item), MIN_RUN)
+    in_doc, in_item = np.zeros(end - begin + 1, np.int64), np.zeros(n_item + 1, np.int64)
+    for marks, at in ((in_doc, found[:, 0] - begin), (in_item, found[:, 1])):
+        np.add.at(marks, at, 1)
+        np.add.at(marks, at + found[:, 2], -1)
+    shared = np.concatenate(([0], np.cumsum(np.cumsum(in_doc) > 0)))
+    starts = np.arange(max(end - begin - width, 0) + 1)
+    bound = np.minimum(shared[np.minimum(starts + width, len(shared) - 1)] - shared[starts], int((np.cumsum(in_item) > 0).sum()))
+    passages, best = Passages(found, n_item, width), 0
+    while True:
+        s = int(np.argmax(bound))
+        if bound[s] <= best:
+            return best
+        here = passages.held(begin + s)
+        best = max(best, here)
+        bound = np.minimum(bound, here + np.abs(starts - s))
 
 
 def compare(items: Items, doc_words: list[str]) -> list[tuple[int, float, int, float]]:
-    """(item, share of it that tiles cover, tiles, share held in order by one passage) of every item with a shared run."""
+    """(item, share of it that tiles cover, tiles, share held in order by one passage) of every item with a shared run.
+
+    The last share is 0 for pairs that the threshold stops: neither the tiles nor all words that
+    stand in any match cover enough of the item.
+    """
     get = items.ids.get
     ids = np.fromiter((get(w, 0) for w in doc_words), np.uint64, len(doc_words))
     out = []
@@ -174,24 +225,39 @@ def compare(items: Items, doc_words: list[str]) -> list[tuple[int, float, int, f
         n, found = len(items.words[item]), matches(seeds)
         tiles = tile(found, n)
         covered = sum(t[2] for t in tiles) / n
-        # tiles never overlap, so what all matches touch bounds any order of them from above
-        touched = len({p + k for _, p, m in found for k in range(m)}) / n
-        out.append((item, covered, len(tiles), best_in_order(found, n) / n if touched >= COVERAGE else 0.0))
+        passes = covered >= COVERAGE
+        if not passes and len(found) > len(tiles):
+            touched = np.zeros(n, bool)
+            for _, p, m in found:
+                touched[p : p + m] = True
+            passes = touched.sum() / n >= COVERAGE
+        out.append((item, covered, len(tiles), best_in_order(found, n) / n if passes else 0.0))
     return out
 
 
+def _blocks(items: DataFrame) -> list[list[tuple[int, str]]]:
+    """The items in blocks of at most BLOCK items and about BLOCK_CHARS characters, one at least."""
+    out, size = [[]], 0
+    for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().toLocalIterator():
+        if out[-1] and (len(out[-1]) >= BLOCK or size + len(r[1]) > BLOCK_CHARS):
+            out.append([])
+            size = 0
+        out[-1].append((int(r[0]), r[1]))
+        size += len(r[1])
+    return [sorted(b) for b in out]
+
+
 def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, coverage, n_tiles, in_order) of every document and item that share a run.
+    """(doc_id, item_id, coverage, n_tiles, in_order, gate) of every document and item that share a run.
 
-    Whole texts are read. Null, empty and short texts share nothing; items under ``MIN_RUN`` words
-    cannot be found. Repeated documents each give their rows.
+    ``gate`` says what sent a pair to the exact check: ``tiles`` cover enough of the item, or
+    ``bound``: they fall short, but the words in any match are enough; else null and ``in_order`` 0.
+    Whole texts are read. Null and empty texts share nothing; items under ``MIN_RUN`` words cannot
+    be found. Repeated documents each give their rows.
     """
-    held = [(int(r[0]), r[1]) for r in items.select("item_id", "text").where("item_id is not null and text is not null").distinct().toLocalIterator()]
-    held.sort(key=lambda r: r[0])
-    texts = spread(documents.select("doc_id", "text").where("text is not null and length(text) >= 20"), "doc_id")
+    texts = spread(documents.select("doc_id", "text").where("text is not null"), "doc_id")
     out = None
-    for a in range(0, max(len(held), 1), BLOCK):
-        block = held[a : a + BLOCK]
+    for block in _blocks(items):
 
         def run(batches: Iterator[pd.DataFrame], block: list = block) -> Iterator[pd.DataFrame]:
             index = Items(block)
@@ -201,12 +267,12 @@ def tiles(documents: DataFrame, items: DataFrame) -> DataFrame:
 
         part = texts.mapInPandas(run, RESULT)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.withColumn("gate", F.when(F.col("coverage") >= COVERAGE, "tiles").when(F.col("in_order") > 0, "bound"))
 
 
 def leaked(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id) of the tiled pairs for which the exact check finds enough of the item in order in one passage."""
-    return tiles(documents, items).where(F.col("in_order") >= COVERAGE).select("doc_id", "item_id")
+    """(doc_id, item_id) of the pairs whose tiles cover (or could cover) enough of the item and whose exact check finds as much in order in one passage."""
+    return tiles(documents, items).where(F.col("gate").isNotNull() & (F.col("in_order") >= COVERAGE)).select("doc_id", "item_id")
 
 
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:

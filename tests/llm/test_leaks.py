@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 from millrace.llm import leaks as L
 from millrace.llm.words import words
@@ -92,3 +93,60 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
     items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
     monkeypatch.setattr(L, "BLOCK", 2)
     assert sorted((r.doc_id, r.item_id) for r in L.leaked(docs, items).collect()) == [(i, i) for i in range(5)]
+
+
+def in_runs(doc, item):
+    """Most item words held in order in runs of MIN_RUN or more by one passage, by trying every passage."""
+    n, best = len(item), 0
+    width = int(L.SPAN * n)
+    for s in range(max(1, len(doc) - width + 1)):
+        d = doc[s : s + width]
+        g = [[0] * (n + 1) for _ in range(len(d) + 1)]
+        run = [[0] * (n + 1) for _ in range(len(d) + 1)]
+        for i in range(1, len(d) + 1):
+            for j in range(1, n + 1):
+                run[i][j] = run[i - 1][j - 1] + 1 if d[i - 1] == item[j - 1] else 0
+                g[i][j] = max(g[i - 1][j], g[i][j - 1], *(g[i - k][j - k] + k for k in range(L.MIN_RUN, run[i][j] + 1)))
+        best = max(best, g[-1][-1])
+    return best
+
+
+def test_order_against_every_passage():
+    rng = random.Random(3)
+    for trial in range(60):
+        item = [f"w{i % 25 if trial % 3 == 1 else i}" for i in range(40)]
+        doc = []
+        for _ in range(rng.randrange(1, 6)):
+            a = rng.randrange(30)
+            doc += item[a : a + rng.randrange(8, 25)] + [f"f{rng.randrange(99)}" for _ in range(rng.randrange(0, 20))]
+        items = L.Items([(7, " ".join(item))])
+        seeds = items.seeds(L.np.array([items.ids.get(w, 0) for w in doc], L.np.uint64)).get(7)
+        assert (0 if seeds is None else L.best_in_order(L.matches(seeds), 40)) == in_runs(doc, item)
+
+
+def test_repeated_runs_cost_little():
+    run = " ".join(f"r{i}" for i in range(10))
+    items = L.Items([(1, " ".join([run] * 40))])
+    began = time.time()
+    assert L.compare(items, (run + " ").split() * 3_000) == [(1, 1.0, 1, 1.0)]
+    assert time.time() - began < 10
+
+
+def test_tiles_may_fall_short_of_the_best_order():
+    # the longest match takes words of both its neighbours and leaves too few of each
+    item = [f"w{i}" for i in range(100)]
+    doc = item[0:25] + ["x"] + item[25:46] + [f"y{i}" for i in range(70)] + item[15:41]
+    (row,) = L.compare(L.Items([(1, " ".join(item))]), doc)
+    assert row[1] < L.COVERAGE <= row[3]
+
+
+def test_one_letter_words_and_reordered_passages(spark):
+    letters = "a b c d e f g h i j"
+    item = " ".join(f"w{i}" for i in range(60))
+    turned = " ".join([f"w{i}" for i in range(36, 60)] + [f"w{i}" for i in range(12, 36)] + [f"w{i}" for i in range(12)])
+    docs = spark.createDataFrame([(1, letters), (2, turned), (3, item)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, letters), (8, item)], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in L.leaked(docs, items).collect()) == [(1, 7), (3, 8)]
+    got = {r.item_id: (r.n_docs, r.n_in_order) for r in L.leaked_items(docs, items).collect()}
+    assert got == {7: (1, 1), 8: (2, 1)}
+    assert {(r.doc_id, r.gate) for r in L.tiles(docs, items).collect()} == {(1, "tiles"), (2, "tiles"), (3, "tiles")}
