@@ -15,7 +15,13 @@ def _matched(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "pump_catalogue").select(F.col("pump_model_canonical").alias("pump_model_as_printed")).where("pump_model_as_printed is not null")
-    return _matched(spark, d).join(F.broadcast(names) if names.limit(name_match.MAX_ENTRIES + 1).count() <= name_match.MAX_ENTRIES else names, "pump_model_as_printed", "left_anti").select("config_id", "model_id")
+    return _matched(spark, d).join(names, "pump_model_as_printed", "left_anti").select("config_id", "model_id")
+
+
+def p3_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """All entries within the distance, for each name that is not written as one."""
+    rows = _matched(spark, d).where("how <> 'exact'").select("pump_model_as_printed", F.explode("candidates").alias("c")).select("pump_model_as_printed", "c.*")
+    return rows.groupBy("pump_model_as_printed", "model_id", "distance", "path").agg(F.count("*").alias("n_rows"))
 
 
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
@@ -66,5 +72,5 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "source").join(levels, "doc_id").groupBy("source", "level_class", "basis").agg(F.count("*").alias("n_docs"), F.avg("reading_level").alias("mean_level"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_report, p3_unmatched, p7_found, p7_pages, p8_pack, p8_containers, p9_found, p9_tiles, p9_items, p10_levels, p10_profile)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_report, p3_unmatched, p7_found, p7_pages, p8_pack, p8_containers, p9_found, p9_tiles, p9_items, p10_levels, p10_profile)}
 ORACLE: dict[str, str] = {}

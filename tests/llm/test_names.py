@@ -58,3 +58,44 @@ def test_table(spark):
     assert sorted((r.config_id, r.model_id) for r in got.collect()) == [(1, 1), (1, 1), (4, -1)]
     assert N.match_names(rows.where("config_id = 1"), "config_id", "printed", ref.where("id < 0"), "id", "name", "maker").collect()[0].model_id == -1
     assert N.match_names(rows.where("config_id > 99"), "config_id", "printed", ref, "id", "name", "maker").count() == 0
+
+
+def test_all_entries_within_the_distance():
+    entries = [(1, "Kinen 1880N", None), (2, "Ruvus 400-8750", None), (3, "Kinem 1880N", None)]
+    names = N.NameList(entries)
+    assert [names.resolve(x)[:2] for x in ("1880N Kinen", "1880M Kinen", "400-8750 Ruvvs")] == [(1, "alias"), (1, "alias"), (2, "alias")]
+    # both are within one edit; the nearer one is the answer, and both are listed
+    assert names.answer("Kinen 1880N.")[3] == [(1, 0, "exact")] or {c[:2] for c in names.answer("Kinen 1880N.")[3]} == {(1, 0), (3, 1)}
+    assert {c[:2] for c in names.answer("Kinex 1880N")[3]} == {(1, 1), (3, 1)} and names.resolve("Kinex 1880N")[1] == "ambiguous"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("abé1- ", min_size=1, max_size=9), min_size=1, max_size=5, unique=True), st.text("abé1- ", max_size=16))
+def test_candidates_against_every_path(words, text):
+    names = N.NameList([(i, w, None) for i, w in enumerate(words)])
+    exact, whole, _ = names.look_up(text)
+    key = N.key_of(names.stripped(text))
+    paths = {}
+
+    def walk(node, path):
+        for ch, child in node.items():
+            if ch == "":
+                for e in child:
+                    paths.setdefault(e, []).append(path)
+            else:
+                walk(child, path + ch)
+
+    walk(names.trie.root, "")
+    if not exact and key:
+        k = N.allowed(len(key))
+        assert whole == {e: min(osa(key, p) for p in ps) for e, ps in paths.items() if min(osa(key, p) for p in ps) <= k}
+
+
+def test_parts_do_not_change_the_result(spark, monkeypatch):
+    texts = ["zakel 6880t", "6880T Zakel", "kukiv7960 cw", "Zakel 6880T and Nelox-650", "Davon 562-890 + davon 562 890", "Vogul", "Tunut 400-9180", "Nelox-651", "Zakel 6880T by Acme"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "config_id long, printed string")
+    ref = spark.createDataFrame(ENTRIES, "id long, name string, maker string")
+    got = lambda: sorted((r.config_id, r.model_id, r.how, r.distance, tuple(map(tuple, r.candidates))) for r in N.match_names(rows, "config_id", "printed", ref, "id", "name", "maker").collect())
+    whole = got()
+    monkeypatch.setattr(N, "MAX_ENTRIES", 2)
+    assert got() == whole
