@@ -10,7 +10,7 @@ large the corpus) is packed on the driver, and the documents follow their length
 3. what is left is packed greedily, longest first, by best fit on the histogram.
 
 A document keeps whole unless it alone exceeds the capacity; then it is cut into full pieces and a
-rest, and the rest is packed like any other.
+rest, and the rest is packed like any other. Container ids are unique, not consecutive.
 """
 
 from __future__ import annotations
@@ -22,15 +22,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import cut, spread
 
 CAPACITY = 2048
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-#: Lengths' ranks are counted in so many parts, so that one frequent length is no single task.
-SALTS = 64
+#: Pieces of one length that are ranked together; a more frequent length is ranked in parts.
+SALT_ROWS = 500_000
 PIECES = "doc_id long, piece int, first_token int, n_tokens int"
 
 
@@ -200,16 +200,27 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
     """(doc_id, piece, first_token, n_tokens, container_id) of every document; no token is lost, container_id is null for 0 tokens.
 
     Counts are written once to the shared folder, since the histogram and the assignment both need
-    them. The driver gets one short row per length. Ranks within a length are counted per
-    salt, so a length that a third of the pieces share is spread over ``SALTS`` groups.
+    them. A full piece is a container of its own and is numbered where it stands, without a shuffle.
+    Pieces of another length get their rank among those of that length, counted in as many salted
+    parts as ``SALT_ROWS`` asks for, so that no length, however frequent, is one task. The driver gets
+    one number per length and one per part.
     """
-    salted = cut(token_pieces(documents, capacity, vocabulary).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")))
-    counts = np.zeros((capacity + 1, SALTS), np.int64)
-    per_salt = F.array(*[F.count_if(F.col("salt") == i) for i in range(SALTS)])
-    for r in salted.groupBy("n_tokens").agg(per_salt.alias("n")).collect():  # at most ``capacity`` rows of SALTS numbers
-        counts[r[0]] = r[1]
-    made = plan(counts.sum(1), capacity)
-    offset = np.cumsum(counts, 1) - counts
+    pieces = cut(token_pieces(documents, capacity, vocabulary).withColumn("at", F.monotonically_increasing_id()))
+    full, short = pieces.where(F.col("n_tokens") == capacity), pieces.where((F.col("n_tokens") > 0) & (F.col("n_tokens") < capacity))
+    hist = np.zeros(capacity + 1, np.int64)
+    for r in short.groupBy("n_tokens").agg(F.count("*").alias("n")).collect():  # at most ``capacity`` rows
+        hist[r[0]] = r[1]
+    made = plan(hist, capacity)
+    parts = np.maximum(1, -(-hist // SALT_ROWS))
+    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.element_at(F.lit(parts.tolist()), F.col("n_tokens") + 1)).cast("int")
+    salted = short.withColumn("salt", salt)
+    # per (length, part): how many pieces of that length stand in the parts before
+    slot = np.concatenate(([0], np.cumsum(parts)))
+    counts = np.zeros(slot[-1], np.int64)
+    for r in salted.groupBy("n_tokens", "salt").agg(F.count("*").alias("n")).collect():  # one row a part
+        counts[slot[r[0]] + r[1]] = r[2]
+    before = np.cumsum(counts) - counts
+    offset = before - np.repeat(before[slot[:-1]], parts)
     begin = np.searchsorted(made.lengths, np.arange(capacity + 2), "left")
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,18 +228,17 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
         wide = np.int64(1) << 44
         keys = made.lengths * wide + made.start_rank
         for pdf in batches:
-            length, salt = pdf["n_tokens"].to_numpy(np.int64), pdf["salt"].to_numpy(np.int64)
-            rank = offset[length, salt] + pdf["rn"].to_numpy(np.int64) - 1
-            i = np.searchsorted(keys, length * wide + rank, "right") - 1
-            ok = (length > 0) & (i >= begin[length])
-            i = np.maximum(i, 0)
-            got = made.first_container[i] + (rank - made.start_rank[i]) // made.per_container[i] if len(keys) else np.zeros(len(pdf), np.int64)
-            yield pdf.drop(columns=["salt", "rn"]).assign(container_id=pd.Series(got, index=pdf.index, dtype="Int64").where(ok))
-
-    from pyspark.sql import Window
-
-    ranked = salted.withColumn("rn", F.row_number().over(Window.partitionBy("n_tokens", "salt").orderBy("doc_id", "piece")))
-    return ranked.mapInPandas(place, PIECES + ", container_id long")
+            length, part = pdf["n_tokens"].to_numpy(np.int64), pdf["salt"].to_numpy(np.int64)
+            rank = offset[slot[length] + part] + pdf["rn"].to_numpy(np.int64) - 1
+            i = np.maximum(np.searchsorted(keys, length * wide + rank, "right") - 1, begin[length])
+            got = made.first_container[i] + (rank - made.start_rank[i]) // made.per_container[i] if len(pdf) else np.zeros(0, np.int64)
+            yield pdf.drop(columns=["salt", "rn"]).assign(container_id=got)
+
+    ranked = salted.drop("at").withColumn("rn", F.row_number().over(Window.partitionBy("n_tokens", "salt").orderBy("doc_id", "piece")))
+    out = ranked.mapInPandas(place, PIECES + ", container_id long")
+    alone = full.select("doc_id", "piece", "first_token", "n_tokens", (F.col("at") + made.n_containers).alias("container_id"))
+    none = pieces.where("n_tokens = 0").select("doc_id", "piece", "first_token", "n_tokens", F.lit(None).cast("long").alias("container_id"))
+    return out.unionByName(alone).unionByName(none)
 
 
 def containers(packed: DataFrame) -> DataFrame:

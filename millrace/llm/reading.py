@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.words import words
-from millrace.session import spread
+from millrace.session import cut, spread
 
 #: Bound of the labelled sample the grades and the calibration are fitted on; the hash of doc_id picks it.
 MAX_LABELLED = 50_000
-#: Bound of the word list sent to the tasks (the most frequent of the graded words).
-MAX_WORDS = 100_000
+#: A word is graded if so many labelled documents hold it.
 MIN_DOCS = 3
 LEVELS = 5
 #: Words of evidence that a word's own distribution needs to count as much as the overall one.
@@ -70,8 +69,9 @@ class Grades:
 def word_grades(graded: DataFrame) -> dict[str, float]:
     """word -> acquisition grade, from (level, text) of labelled documents.
 
-    Counts are aggregated in the cluster; the driver gets at most MAX_WORDS words with one number
-    per level, and the total of each level.
+    Counts are aggregated in the cluster; the driver gets every word that MIN_DOCS documents hold,
+    with one number per level, and the total of each level. The labelled sample is bounded by
+    MAX_LABELLED, and so is the list of words its documents share.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -89,13 +89,13 @@ def word_grades(graded: DataFrame) -> dict[str, float]:
                         cell[1] += 1
             yield pd.DataFrame([(w, b, c, d) for (w, b), (c, d) in out.items()], columns=["word", "band", "n", "docs"])
 
-    cells = graded.mapInPandas(count, "word string, band int, n long, docs long").groupBy("word", "band").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    per_word = cells.groupBy("word").agg(F.sum("docs").alias("docs"), *[F.sum(F.when(F.col("band") == b, F.col("n")).otherwise(0)).alias(f"n{b}") for b in range(1, LEVELS + 1)])
-    totals = np.ones(LEVELS)
-    for r in cells.groupBy("band").agg(F.sum("n").alias("n")).collect():  # one row a level
-        if 1 <= r.band <= LEVELS:
-            totals[r.band - 1] += r.n
-    kept = per_word.where(F.col("docs") >= MIN_DOCS).orderBy(F.desc("docs"), "word").limit(MAX_WORDS).collect()
+    cells = graded.mapInPandas(count, "word string, band int, n long, docs long")
+    bands = range(1, LEVELS + 1)
+    # one row a word, written once: the totals and the kept words are both read from it
+    per_word = cut(cells.groupBy("word").agg(F.sum("docs").alias("docs"), *[F.sum(F.when(F.col("band") == b, F.col("n")).otherwise(0)).alias(f"n{b}") for b in bands]))
+    (total,) = per_word.agg(*[F.coalesce(F.sum(f"n{b}"), F.lit(0)).alias(f"n{b}") for b in bands]).collect()
+    totals = np.ones(LEVELS) + np.array(total, float)
+    kept = per_word.where(F.col("docs") >= MIN_DOCS).toLocalIterator()
     levels = np.arange(1, LEVELS + 1)
     rate_all = totals.sum()
     out = {}
@@ -147,6 +147,7 @@ def fit(documents: DataFrame, reading_labels: DataFrame, train_share: float = 1.
     if over > 1:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit("bound")), F.lit(1_000_000)) < F.lit(int(1_000_000 / over)))
     sample = documents.select("doc_id", "text").where("text is not null").join(known, "doc_id").repartition(documents.sparkSession.sparkContext.defaultParallelism, "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)))
+    sample = cut(sample)  # at most MAX_LABELLED texts, read again for each half
     grades = word_grades(sample.where("half = 0").select("level", "text"))
     table = Grades(grades)
 

@@ -52,3 +52,15 @@ def test_documents(spark, sf):
     long = got[got["doc_id"] == 10**9 + 2].sort_values("piece")
     assert (long["n_tokens"][:-1] == P.CAPACITY).all()
     assert P.pack(docs.where("doc_id < 0")).count() == 0
+
+
+def test_parts_of_a_hot_length(spark, monkeypatch):
+    pytest.importorskip("tiktoken")
+    docs = spark.createDataFrame([(i, "pump " * (3 if i % 3 else 700)) for i in range(120)] + [(500, "pump " * 5_000), (501, "pump " * 2_048)], "doc_id long, text string")
+    once = P.pack(docs).toPandas()
+    monkeypatch.setattr(P, "SALT_ROWS", 7)
+    split = P.pack(docs).toPandas()
+    places = lambda df: sorted(df[["doc_id", "piece", "first_token", "n_tokens"]].itertuples(index=False, name=None))
+    assert places(split) == places(once)
+    assert split.groupby("container_id")["n_tokens"].sum().max() <= P.CAPACITY
+    assert split["container_id"].nunique() == once["container_id"].nunique()
