@@ -51,6 +51,17 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.containers(packing.pack(table(spark, d, "documents")))
 
 
+def p8_conserved(spark: SparkSession, d: str) -> DataFrame:
+    """What every packing must keep, per document: nothing is lost, cut without need or put into a container that overflows."""
+    packed = packing.pack(table(spark, d, "documents"))
+    full = packing.containers(packed).select("container_id", (F.col("n_tokens") <= packing.CAPACITY).alias("fits"))
+    total, end = F.sum("n_tokens"), F.max(F.col("first_token") + F.col("n_tokens"))
+    return packed.join(full, "container_id", "left").groupBy("doc_id").agg(
+        (total == 0).alias("empty"), (end == total).alias("complete"), ((F.count("*") == 1) | (total > packing.CAPACITY)).alias("whole"),
+        F.bool_and(F.coalesce("fits", F.col("n_tokens") == 0)).alias("fits"),
+    )
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -72,5 +83,39 @@ def p10_profile(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "source").join(levels, "doc_id").groupBy("source", "level_class", "basis").agg(F.count("*").alias("n_docs"), F.avg("reading_level").alias("mean_level"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_report, p3_unmatched, p7_found, p7_pages, p8_pack, p8_containers, p9_found, p9_tiles, p9_items, p10_levels, p10_profile)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p3_found, p3_candidates, p3_report, p3_unmatched, p7_found, p7_pages, p8_pack, p8_containers, p8_conserved, p9_found, p9_tiles, p9_items, p10_levels, p10_profile)}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _look_sql(column: str) -> str:
+    """DuckDB: the mapped text, without outer spaces, and its composed form."""
+    one = {k: v for k, v in lookalike.char_map().items() if len(v) == 1}
+    sql = f"translate({column}, {_quoted(''.join(one))}, {_quoted(''.join(one.values()))})"
+    for c in lookalike.NO_WIDTH:
+        sql = f"replace({sql}, {_quoted(c)}, '')"
+    for c, letters in lookalike.LIGATURES.items():
+        sql = f"replace({sql}, {_quoted(c)}, {_quoted(letters)})"
+    return _bare_sql(sql)
+
+
+def _bare_sql(sql: str) -> str:
+    return f"regexp_replace({sql}, '^[\\s\\x0b\\pZ]+|[\\s\\x0b\\pZ]+$', '', 'g')"
+
+
+_PAGES = f"""
+    t as (select page_id, {_look_sql("page_text")} as m, {_bare_sql("page_text")} as s from page_texts where page_text is not null),
+    c as (select nfc_normalize(m) as look, count(distinct s) as n_stored, arg_min(m, {{'n': length(m), 'm': m}}) as canonical from t group by 1)"""
+
+#: DuckDB composes accents by normalisation, where the engine groups under a collation.
+ORACLE = {
+    "p7_found": f"""
+        with {_PAGES}
+        select 'stg_pump_config' as table_name, config_id as row_id from stg_pump_config
+        where {_bare_sql("pump_model_as_printed")} <> {_bare_sql("pump_model_as_printed_alt")} and nfc_normalize({_look_sql("pump_model_as_printed")}) = nfc_normalize({_look_sql("pump_model_as_printed_alt")})
+        union all select 'page_texts', page_id from t join c on nfc_normalize(t.m) = c.look where n_stored > 1""",
+    "p7_pages": f"with {_PAGES} select p.page_id, canonical, n_stored::int as n_stored from page_texts p left join t using (page_id) left join c on nfc_normalize(t.m) = c.look",
+    "p8_conserved": "select doc_id, coalesce(text, '') = '' as empty, true as complete, true as whole, true as fits from documents",
+}
