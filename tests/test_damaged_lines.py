@@ -95,3 +95,44 @@ def test_table(spark):
     assert [got[i].status for i in range(1, 10)] == ["skipped", "loaded", "refused", "skipped", "skipped", "loaded", "refused", "loaded", "refused"]
     assert got[9].reason == "truncated_line"
     assert D.read_lines(df.where("line_id < 0")).count() == 0
+
+
+FLAT = st.dictionaries(st.text('ab"\\é {},:', max_size=4), st.one_of(st.none(), st.booleans(), st.integers(-99, 99), st.floats(allow_nan=False, allow_infinity=False, width=16), st.text('xy"\\,:{} ', max_size=6)), max_size=3)
+
+
+@settings(max_examples=400, deadline=None)
+@given(FLAT, st.data())
+def test_cost_is_zero_for_flat_objects_only(record, data):
+    line = D.json.dumps(record, ensure_ascii=data.draw(st.booleans()))
+    assert D.repair_json(line) == (0, [])
+    i = data.draw(st.integers(0, len(line) - 1))
+    other = line[:i] + data.draw(st.sampled_from(["", '"', "\\", "}", "0", ",", "\t"])) + line[i + 1 :]
+    try:
+        strict = D._STRICT.decode(other)
+        flat = isinstance(strict, dict) and not any(isinstance(v, dict | list) for v in strict.values())
+    except ValueError:
+        flat = False
+    assert (D.repair_json(other)[0] == 0) == flat
+
+
+def put_right(line: str, edits: list[str]) -> str:
+    out = []
+    for i in range(len(line) + 1):
+        here = [e.rpartition(" at ")[0] for e in edits if int(e.rpartition(" at ")[2]) == i]
+        out += [e.partition(" ")[2] for e in here if e.startswith(("insert ", "open ", "close "))]
+        if i < len(line) and not any(e.startswith(("delete ", "before ", "after ")) for e in here):
+            out.append(line[i])
+    return "".join(out)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet='{}",:ab1\\ [', min_size=1, max_size=14).map(str.strip).filter(bool))
+def test_reasons_follow_from_the_edits(line):
+    status, reason, cost, edits, _ = D.read_md(line)
+    if status == "loaded":
+        return
+    assert reason == ("not_a_record" if line[0] != "{" else "truncated_line" if line[-1] != "}" else "broken_quoting")
+    script = D.repair_json(line)
+    if script[0] == 0:  # nested values are beyond the automaton
+        return
+    assert isinstance(D._STRICT.decode(put_right(line, script[1])), dict)
