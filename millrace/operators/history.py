@@ -3,20 +3,20 @@
 A *chain* is the list of versions of one entity. Raw changes are the truth; chains are derived.
 When a batch of late, corrected or new changes comes, only the entities it touches have their raw
 changes read again and their chains rebuilt; the chains of all others are taken over as they are.
-``ChainStore`` makes the replacement atomic on plain files.
+``ChainStore`` makes the replacement atomic, on any file system Hadoop knows.
 """
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.session import new_dir
+from millrace.sources.store import BucketStore
+
 FOREVER = "9999-12-31"
 
 
@@ -71,61 +71,49 @@ def rebuild_affected(chains: DataFrame, raw: DataFrame, batch: DataFrame, spec:
     return chains.join(keys, list(spec.keys), "left_anti").unionByName(rebuilt)
 
 
-def history(changes: DataFrame, spec: ChainSpec, split: Column) -> DataFrame:
-    """The history of all ``changes``: those where ``split`` is false are the base load, the others the batch.
+def history(changes: DataFrame, spec: ChainSpec, split: Column, path: str | None = None) -> DataFrame:
+    """The history of all ``changes``, kept below ``path`` (by default a new one in the shared folder): those where ``split`` is false are the base load, the others a batch.
 
-    Both parts count whole; the result does not depend on the split. An empty input gives no rows.
+    The base load writes the chains of its entities; the batch reads the raw changes of the entities
+    it touches, rebuilds their chains and replaces them in one commit. Both parts count whole, and
+    the result does not depend on the split. An empty input gives no rows.
     """
-    base, batch = changes.where(~F.coalesce(split, F.lit(False))), changes.where(F.coalesce(split, F.lit(False)))
-    return rebuild_affected(build_chains(base, spec), changes, batch, spec)
+    late = F.coalesce(split, F.lit(False))
+    store = ChainStore(changes.sparkSession, path or new_dir(changes.sparkSession, "chains"), spec)
+    store.load(changes.where(~late))
+    store.apply(changes, changes.where(late))
+    found = store.read()
+    return build_chains(changes.limit(0), spec) if found is None else found
 
 
 class ChainStore:
-    """Chains on plain files, in hash buckets, replaced atomically.
+    """Chains in hash buckets of a ``BucketStore``; each commit replaces the buckets that hold touched entities.
 
-    A commit writes the buckets that hold touched entities to new folders and then renames one
-    manifest over the last; a reader sees either all old or all new chains, and a failed commit
-    leaves only unreferenced folders.
+    A reader sees either all old or all new chains. A writer that another one overtook gets
+    ``Conflict`` and begins again.
     """
 
     def __init__(self, spark: SparkSession, path: str, spec: ChainSpec, buckets: int = 64):
-        self.spark, self.path, self.spec, self.buckets = spark, path, spec, buckets
-
-    def _manifest(self) -> dict[str, str]:
-        try:
-            with open(f"{self.path}/MANIFEST.json") as f:
-                return json.load(f)
-        except FileNotFoundError:
-            return {}
-
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("int")
+        self.spec, self.store = spec, BucketStore(spark, path, spec.keys, buckets)
 
     def read(self) -> DataFrame | None:
-        folders = sorted(self._manifest().values())
-        return self.spark.read.parquet(*[f"{self.path}/{x}" for x in folders]) if folders else None
+        return self.store.read()
+
+    def load(self, raw: DataFrame) -> int:
+        """Build the chains of all entities in ``raw`` in place of whatever was there."""
+        begun = self.store.version()
+        return self.store.replace(build_chains(raw, self.spec), range(self.store.buckets), begun)
 
     def apply(self, raw: DataFrame, batch: DataFrame) -> list[int]:
         """Rebuild the chains ``batch`` touches; returns the buckets that were replaced."""
-        now = self._manifest()
-        keys = touched(batch, self.spec).withColumn("bucket", self._bucket())
-        hit = [r.bucket for r in keys.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        begun, on = self.store.version(), list(self.spec.keys)
+        keys = touched(batch, self.spec)
+        hit = self.store.buckets_of(keys)
         if not hit:
             return []
-        old = [f"{self.path}/{now[str(b)]}" for b in hit if str(b) in now]
-        rebuilt = build_chains(raw.join(keys.drop("bucket"), list(self.spec.keys), "left_semi"), self.spec)
-        if old:
-            rebuilt = self.spark.read.parquet(*old).join(keys.drop("bucket"), list(self.spec.keys), "left_anti").unionByName(rebuilt)
-        version = uuid.uuid4().hex
-        rebuilt.withColumn("bucket", self._bucket()).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/{version}")
-        for b in hit:
-            folder = f"{version}/bucket={b}"
-            if os.path.isdir(f"{self.path}/{folder}"):
-                now[str(b)] = folder
-            else:
-                now.pop(str(b), None)
-        temporary = f"{self.path}/.MANIFEST.{version}"
-        with open(temporary, "w") as f:
-            json.dump(now, f)
-        os.replace(temporary, f"{self.path}/MANIFEST.json")
-        return sorted(hit)
+        rebuilt = build_chains(raw.join(keys, on, "left_semi"), self.spec)
+        old = self.store.read(hit, begun)
+        if old is not None:
+            rebuilt = old.join(keys, on, "left_anti").unionByName(rebuilt)
+        self.store.replace(rebuilt, hit, begun)
+        return hit

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -13,21 +15,25 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
 
     AQE stays on: it coalesces small shuffle partitions, splits skewed join partitions and
     chooses broadcast joins from measured sizes, so no operator hard-codes a broadcast of data
-    that grows.
+    that grows. On a cluster (a master is given here or by spark-submit) the number of shuffle
+    partitions is the cluster's; AQE merges them to ``advisoryPartitionSizeInBytes``. Only a local
+    session is given few, one for each core.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    master = master or SparkConf().get("spark.master") or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": cpus,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
-        "spark.driver.memory": os.environ.get("DRIVER_MEMORY", "8g"),
-    } | conf
-    builder = SparkSession.builder.appName("millrace").master(master or f"local[{cpus}]")
-    for key, value in settings.items():
+    }
+    if master.startswith("local["):
+        cores = master[len("local[") : -1].partition(",")[0]
+        settings |= {"spark.driver.memory": os.environ.get("DRIVER_MEMORY", "8g")} | ({} if cores == "*" else {"spark.sql.shuffle.partitions": cores})
+    builder = SparkSession.builder.appName("millrace").master(master)
+    for key, value in (settings | conf).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -45,6 +51,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def new_dir(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet; Spark makes the folder when it writes."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder; its readers survive the loss of any executor."""
     shared_dir(df.sparkSession)
