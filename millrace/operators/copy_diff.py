@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The pattern of a number in a printed cell.
 _NUMBER = r"[-+]?[\\d,]*\\.?\\d+"
 
 
@@ -38,7 +39,7 @@ def diff(ref: DataFrame, port: DataFrame, keys: list[str], fields: list[str], nu
     """(keys, field_name, category, old, new), one row per difference; ``*`` marks a row on one side only.
 
     Repeats of a row count once; where one side holds several unequal rows of a key, the least
-    (fields compared in order, null first) stands for it. Null keys match null keys. Columns that
+    (fields compared in order, null first) stands for it and ``repeated`` reports the key. Null keys match null keys. Columns that
     are not named are ignored. The aggregate is partial, so repeats of a hot key are merged before
     the shuffle.
     """
@@ -52,6 +53,13 @@ def diff(ref: DataFrame, port: DataFrame, keys: list[str], fields: list[str], nu
     return pairs.where("not (ref <=> port)").select(*keys, F.explode(F.expr(found)).alias("d")).select(*keys, "d.*")
 
 
+def repeated(ref: DataFrame, port: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """(keys, side, n_rows, n_unequal) of keys for which one side holds several unequal rows, of which ``diff`` compares the least."""
+    side = lambda df, name: df.select(*keys, F.xxhash64(*[x for f in fields for x in (F.col(f), F.col(f).isNull())]).alias("h"), F.lit(name).alias("side"))
+    both = side(ref, "only_ref").unionByName(side(port, "only_port"))
+    return both.groupBy(*keys, "side").agg(F.count("*").alias("n_rows"), F.count_distinct("h").alias("n_unequal")).where("n_unequal > 1")
+
+
 def verdict(differences: DataFrame) -> DataFrame:
     """(field_name, category, n): how many differences of each kind."""
     return differences.groupBy("field_name", "category").agg(F.count("*").alias("n"))

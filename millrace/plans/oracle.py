@@ -62,10 +62,10 @@ def _unit_words(x: str) -> str:
     return f"lower(trim(regexp_replace(regexp_replace({x}, '[-+]?[\\d,]*\\.?\\d+|[()\\[\\]]', ' ', 'g'), '\\s+', ' ', 'g')))"
 
 
-def _field_category(f: str, numeric: bool) -> str:
+def _field_category(f: str, numeric: bool, values: bool = False) -> str:
     a, b = f"r.{f}", f"p.{f}"
     form = f"when len({_number_list(a)}) > 0 and list_sort({_number_list(a)}) = list_sort({_number_list(b)}) and ({_unit_words(a)} = {_unit_words(b)} or {_unit_words(a)} = '' or {_unit_words(b)} = '') then 'format'" if numeric else ""
-    return f"select r.source_document, r.scenario_ordinal, r.section_order, '{f}' as field_name, case when {a} is null then 'added' when {b} is null then 'dropped' {form} else 'conflict' end as category from r join p on {_SAME} where {a} is distinct from {b}"
+    return f"select r.source_document, r.scenario_ordinal, r.section_order, '{f}' as field_name, case when {a} is null then 'added' when {b} is null then 'dropped' {form} else 'conflict' end as category{f', {a} as old, {b} as new' if values else ''} from r join p on {_SAME} where {a} is distinct from {b}"
 
 
 _SAME = "r.source_document is not distinct from p.source_document and r.scenario_ordinal is not distinct from p.scenario_ordinal and r.section_order is not distinct from p.section_order"
@@ -353,6 +353,15 @@ ORACLE = {
     "p4_history": f"with {_CHAINS} select organization_id, well_id, s.a as intake_set_depth_md_ft, s.b as motor_type, s.c as motor_nameplate_hp, s.d as oil_api_deg, s.e as water_cut_design_frac, s.f as design_frequency_hz, valid_from, valid_to from chains",
     "p5_found": _DIFF,
     "p5_verdict": f"select field_name, category, count(*) as n from ({_DIFF}) group by all",
+    "p5_repeated": """
+        with b as (select 'only_ref' as side, source_document, scenario_ordinal, section_role, pump_model_as_printed from stg_pump_config union all select 'only_port', source_document, scenario_ordinal, section_role, pump_model_as_printed from stg_pump_config_copy),
+        k as (select side, count(*) as n, count(distinct {'a': section_role, 'b': pump_model_as_printed}) as u from b group by side, source_document, scenario_ordinal)
+        select side, count(*) as n_keys, sum(n)::bigint as n_rows from k where u > 1 group by side""",
+    "p5_fields": f"""
+        with {_SIDES}
+        select r.source_document, r.scenario_ordinal, r.section_order, '*' as field_name, 'only_ref' as category, null::varchar as old, null::varchar as new from r where not exists (select 1 from p where {_SAME})
+        union all select p.source_document, p.scenario_ordinal, p.section_order, '*', 'only_port', null, null from p where not exists (select 1 from r where {_SAME})
+        union all {" union all ".join(_field_category(f, f in _NUMERIC, True) for f in _FIELDS)}""",
     "p6_found": f"with {_REFS} select * from orphan",
     "p6_partial": f"""
         with {_REFS},

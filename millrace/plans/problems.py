@@ -82,6 +82,12 @@ def p5_verdict(spark: SparkSession, d: str) -> DataFrame:
     return copy_diff.verdict(_diff(spark, d))
 
 
+def p5_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """Per side, how many keys hold several unequal rows."""
+    rows = copy_diff.repeated(table(spark, d, "stg_pump_config"), table(spark, d, "stg_pump_config_copy"), COPY_KEYS[:2], COPY_FIELDS[:2])
+    return rows.groupBy("side").agg(F.count("*").alias("n_keys"), F.sum("n_rows").alias("n_rows"))
+
+
 def _references(spark: SparkSession, d: str) -> DataFrame:
     sources = {"stg_pump_config": "config_id", "esp_well_design_context": "context_id", "stg_curve_observations": "obs_id"}
     out = None
@@ -108,4 +114,4 @@ def p6_partial(spark: SparkSession, d: str) -> DataFrame:
     return references.report(_orphans(spark, d, "partial"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_convert, p1_segments, p2_found, p2_quarantine, p2_loaded, p4_found, p4_history, p5_found, p5_fields, p5_verdict, p6_found, p6_report, p6_partial)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_convert, p1_segments, p2_found, p2_quarantine, p2_loaded, p4_found, p4_history, p5_found, p5_fields, p5_verdict, p5_repeated, p6_found, p6_report, p6_partial)}
