@@ -40,13 +40,13 @@ def confirmed_variance(found: DataFrame, observations: DataFrame, record: list[s
 def identity_sets(rows: DataFrame, record: list[str], variant: str, identity: list[str]) -> DataFrame:
     """(record, n_variants, n_sets, same): whether all variants hold the same multiset of identities; null equals empty text.
 
-    A variant's multiset is carried as three order-free sums of its members' hashes, so a variant
+    A variant's multiset is carried as its size and sums of two hashes of its members, so a variant
     of any size aggregates partially and never gathers in a list.
     """
     text = F.concat_ws("\u0001", *[F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in identity])
     h = F.xxhash64(text)
     wide = lambda c: c.cast("decimal(20,0)")
-    sets = rows.groupBy(*record, variant).agg(F.count("*").alias("n"), F.sum(wide(h)).alias("a"), F.sum(wide(F.xxhash64(h, F.lit(1)))).alias("b"))
+    sets = rows.groupBy(*record, variant).agg(F.count("*").alias("n"), F.sum(wide(h)).alias("a"), F.sum(wide(F.xxhash64(F.lit("second"), text))).alias("b"))
     return sets.groupBy(*record).agg(F.count("*").alias("n_variants"), F.count_distinct(F.struct("n", "a", "b")).alias("n_sets")).withColumn("same", F.col("n_sets") == 1)
 
 

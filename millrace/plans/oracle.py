@@ -183,7 +183,7 @@ ORACLE = {
         from part""",
     "e5_family_free": "select lower(trim(pump_model_canonical)) as printed_key, min(pump_model_canonical) as canonical, min(curve_basis) as basis from pump_catalogue group by 1 having count(distinct pump_model_canonical) = 1",
     "e6_catalogue": """
-        with n as (select distinct pump_model_as_printed as printed from stg_pump_config where pump_model_as_printed is not null and not regexp_matches(pump_model_as_printed, '[^\\x00-\\x7f]')),
+        with n as (select distinct pump_model_as_printed as printed from stg_pump_config where pump_model_as_printed is not null),
         c as (select distinct pump_model_canonical as m from pump_catalogue where pump_model_canonical is not null),
         ke as (select m, regexp_replace(lower(m), '[^\\pL\\pN]', '', 'g') as key, lower(trim(m)) as ck from c),
         a as (select printed, (select list_sort(list(m)) from ke where m = printed) as e, (select list_sort(list(m)) from ke where ck = lower(trim(printed))) as s,
@@ -219,11 +219,10 @@ ORACLE = {
     "j6_semi": "select c_custkey, c_nationkey from customer where c_custkey in (select o_custkey from orders where o_orderstatus = 'F')",
     "j7_anti": "select c_custkey, c_nationkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)",
     "j8_grounding": """
-        with p as (select report_id, page_no, min(page_text) as t from page_texts where page_text is not null group by all),
-        c as (select report_id, page_no, trim(regexp_replace(t, '[\\s\\pZ]+', ' ', 'g')) as t, regexp_extract(t, 'checksum (\\d+)', 1) as v from p),
-        x as (select a.report_id || '#' || a.page_no as value_id, a.v, b.page_no as p, b.page_no = a.page_no - a.page_no % 2 as cited,
+        with c as (select page_id, report_id, page_no, trim(regexp_replace(page_text, '[\\s\\pZ]+', ' ', 'g')) as t, regexp_extract(page_text, 'checksum (\\d+)', 1) as v from page_texts where page_text is not null),
+        x as (select a.page_id as value_id, a.v, b.page_no as p, b.page_no = a.page_no - a.page_no % 2 as cited,
                 a.v <> '' and regexp_matches(b.t, '(^|[^\\d.,])' || a.v || '($|[^\\d.,]|[.,]($|\\D))') as hit from c a join c b using (report_id))
-        select value_id, case when any_value(v) = '' then 'not_evaluated' when bool_or(hit and cited) then 'cited_page' when bool_or(hit) then 'other_page' else 'not_found' end as grounding,
+        select value_id::varchar as value_id, case when any_value(v) = '' then 'not_evaluated' when bool_or(hit and cited) then 'cited_page' when bool_or(hit) then 'other_page' else 'not_found' end as grounding,
             case when bool_or(hit and cited) then coalesce(string_agg(distinct case when hit and cited then p end, ','), '') else coalesce(array_to_string(list_sort(list(distinct p) filter (where hit and not cited)), ','), '') end as found_on
         from x group by value_id""",
     "j9_ranges": """
@@ -340,7 +339,7 @@ ORACLE = {
     "d8_parity": f"""
         with {_VERSIONS}, x as (select *, 'o' as s from (select * from old except all select * from new) union all select *, 'n' from (select * from new except all select * from old))
         select count_if(s = 'o' and name not like '%3')::bigint as only_old, count_if(s = 'n' and name not like '%3')::bigint as only_new, count_if(name like '%3')::bigint as allowed from x""",
-    "d11_new_items": "select distinct o_custkey, o_orderpriority from orders where o_totalprice < 5000 and (o_custkey, o_orderpriority) not in (select o_custkey, o_orderpriority from orders where o_totalprice < 3000)",
+    "d11_new_items": "select distinct o_custkey, o_orderpriority from orders where (o_custkey, o_orderpriority) not in (select o_custkey, o_orderpriority from orders where o_orderdate < date '1998-01-01')",
     "r17_series": """
         with t as (select vendor_family, point_type, try_cast(replace(flow_as_printed, ',', '') as double) as x, try_cast(replace(head_as_printed, ',', '') as double) as y from stg_curve_observations)
         select vendor_family, point_type, count(*) as n, count_if(x is not null and y is not null)::bigint as n_drawn, min(case when y is not null then x end) as x_min, max(case when y is not null then x end) as x_max,

@@ -83,12 +83,12 @@ def truncated(reports: DataFrame) -> DataFrame:
 
 
 def footer(reports: DataFrame) -> DataFrame:
-    """(report_id, block, declared): the last parseable object under ``## row_counts``; a count that is no integer is null."""
+    """(report_id, block, declared): the last parseable object under ``## row_counts``; a count that is no JSON integer (text, fraction, true) is null."""
     w = W.partitionBy("report_id").orderBy("line_no")
     section = F.last(F.when(F.col("line").rlike(r"^##\s"), F.trim(F.regexp_extract("line", r"^##\s+(.*)$", 1))), ignorenulls=True).over(w)
-    objects = lines(reports).withColumn("s", section).where("s = 'row_counts'").withColumn("o", F.from_json("line", "map<string,string>")).where("o is not null and line like '{%}'")
+    objects = lines(reports).withColumn("s", section).where("s = 'row_counts'").withColumn("o", F.when(F.trim("line").startswith("{"), F.from_json("line", "map<string,variant>"))).where("o is not null and trim(line) like '{%}'")
     last = objects.groupBy("report_id").agg(F.max_by("o", "line_no").alias("o"))
-    return last.select("report_id", F.explode("o").alias("block", "d")).select("report_id", "block", F.when(F.col("d").rlike(r"^-?\d+$"), F.col("d").try_cast("int")).alias("declared"))
+    return last.select("report_id", F.explode("o").alias("block", "d")).select("report_id", "block", F.when(F.schema_of_variant("d") == "BIGINT", F.try_variant_get("d", "$", "int")).alias("declared"))
 
 
 def reconciliation(reports: DataFrame) -> DataFrame:
