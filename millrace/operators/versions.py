@@ -56,6 +56,11 @@ def multiset_difference(old: DataFrame, new: DataFrame) -> DataFrame:
     return a.withColumn("side", F.lit("old")).unionByName(b.withColumn("side", F.lit("new")))
 
 
+def symmetric_difference(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> DataFrame:
+    """Distinct rows on one side only, with ``side``; null equals null."""
+    return a.subtract(b).withColumn("side", F.lit(name_a)).unionByName(b.subtract(a).withColumn("side", F.lit(name_b)))
+
+
 def greedy_pairs(old: DataFrame, new: DataFrame, group: list[str], keys: list[str], order: str) -> DataFrame:
     """(group, old_id, new_id): each old row, in order, takes the first free new row whose keys are equal or null on a side.
 

@@ -192,7 +192,7 @@ ORACLE = {
         select printed, case when trim(printed) = '' or hits is null then 'none' when len(hits) > 1 then 'ambiguous' when e is not null then 'exact' when s is not null then 'case' else 'key' end as how,
             case when trim(printed) <> '' and len(hits) = 1 then hits[1] end as match, case when trim(printed) <> '' and len(hits) > 1 then array_to_string(hits, '|') end as candidates from h""",
     "e12_near_names": """
-        with f as (select distinct lower(trim(regexp_replace(well_id, '\\s+', ' ', 'g'))) as form, well_id as n from well_list where well_id is not null)
+        with f as (select distinct lower(trim(regexp_replace(regexp_replace(pump_model_as_printed, '[\u200b-\u200d\u2060\ufeff\u00ad]', '', 'g'), '[\\s\\pZ]+', ' ', 'g'))) as form, pump_model_as_printed as n from stg_pump_config where pump_model_as_printed is not null)
         select form, count(*) as n_names, string_agg(n, '|' order by n) as names from f group by form having count(*) > 1""",
     "j2_fill_or_conflict": """
         with j as (select o_orderkey, case when o_orderkey % 3 <> 0 then o_totalprice end as own, round(l_extendedprice, 0) as offered, l_linenumber as ord from orders join lineitem on o_orderkey = l_orderkey where l_extendedprice is not null),
@@ -217,7 +217,7 @@ ORACLE = {
         now as (select name, case when name like '%4' then '0.01' else bal end as bal from old where name not like '%5')
         select case when c.bal is null then 'absent' when c.bal = s.old then 'matches_old' when c.bal = s.new then 'matches_new' else 'other' end as status, count(*) as n from sheet s left join now c using (name) group by 1""",
     "j6_semi": "select c_custkey, c_nationkey from customer where c_custkey in (select o_custkey from orders where o_orderstatus = 'F')",
-    "j7_anti": "select c_custkey, c_nationkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)",
+    "j7_anti": "select c_custkey, c_nationkey from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null and o_orderpriority like '1%' and o_totalprice > 300000)",
     "j8_grounding": """
         with c as (select page_id, report_id, page_no, trim(regexp_replace(page_text, '[\\s\\pZ]+', ' ', 'g')) as t, regexp_extract(page_text, 'checksum (\\d+)', 1) as v from page_texts where page_text is not null),
         x as (select a.page_id as value_id, a.v, b.page_no as p, b.page_no = a.page_no - a.page_no % 2 as cited,
@@ -231,7 +231,8 @@ ORACLE = {
         with a as (select o_orderpriority as p, o_orderstatus as s from orders), b as (select case when o_orderkey % 10 = 1 then 'X' else o_orderpriority end as p, o_orderstatus as s from orders where o_orderkey % 4 <> 0)
         select p, s, side, count(*) as n from (select *, 'old' as side from (select * from a except all select * from b) union all select *, 'new' from (select * from b except all select * from a)) group by all""",
     "u2_symmetric": """
-        select k, 'a' as side from (select c_nationkey as k from customer except select s_nationkey from supplier) union all select k, 'b' from (select s_nationkey as k from supplier except select c_nationkey from customer)""",
+        with a as (select distinct o_custkey as k from orders where o_orderstatus = 'F'), b as (select distinct o_custkey as k from orders where o_orderstatus = 'P')
+        select k, 'a' as side from (select k from a except select k from b) union all select k, 'b' from (select k from b except select k from a)""",
     "u3_intersect": "select c_nationkey as k from customer intersect select s_nationkey from supplier",
     "u4_union_mixed": "select c_name as name, c_mktsegment as segment, null::double as balance from customer union all select s_name, null, s_acctbal from supplier",
     "k7_upsert": """
@@ -271,6 +272,12 @@ ORACLE = {
     "st_confirm": """
         select cast(o_orderkey as varchar) as confirmation_id, o_custkey, coalesce(nullif(concat_ws(',', case when o_custkey is null then 'customer' end,
             case when not coalesce(o_totalprice > 1000, false) then 'price' end, case when not coalesce(o_orderstatus <> 'P', false) then 'closed' end), ''), 'accepted') as result from orders""",
+    "st_close_once": "select user_id, ts, event_id from (select *, row_number() over (partition by user_id order by ts, event_id) as rn from events) where rn = 1",
+    "st_object_records": """
+        select distinct strftime(ts, '%Y%m%dT%H%M%S') || '-' || substr(sha256('in/' || user_id || '@' || event_type), 1, 8) as run_id, 'in/' || user_id as key, event_type as version from events""",
+    "st_transcription": """
+        with q as (select user_id as key, min(ts) as at from events group by 1), r as (select user_id as key, arg_min(case when value > 50 then 'succeeded' else 'failed' end, {'t': ts, 's': case when value > 50 then 'succeeded' else 'failed' end}) as state from events where event_type = 'purchase' group by 1)
+        select key, coalesce(state, case when floor(epoch(timestamp '2024-01-20')) - floor(epoch(at)) > 7 * 86400 then 'timed_out' else 'running' end) as state from q left join r using (key)""",
     "s4_jsonl": """
         with l as (select block, trim(raw_line, ' ') as t from raw_lines where source_file like '%.md' and raw_line is not null)
         select block, count(*) as n, count_if(not coalesce(t like '{%' and t like '%}' and json_valid(t), false))::bigint as n_broken from l where t <> '' and t not like '```%' group by block""",
@@ -309,8 +316,9 @@ ORACLE = {
         select k, case when n < expected then 'missing_part' when abs(s - total) <= t then 'pass' else 'fail' end as result, n, s::double as sum, t::double as tolerance from s""",
     "a14_poisoned_sum": "select source, case when count(n_chars) = count(*) then sum(n_chars)::bigint end as total, count(*) as n from documents group by source",
     "a18_label_conflicts": """
-        select source_document, scenario_ordinal, string_agg(distinct is_design_scenario, '|' order by is_design_scenario) as labels, 'pump_config' as tables from stg_pump_config
-        where scenario_ordinal is not null and is_design_scenario is not null group by source_document, scenario_ordinal having count(distinct is_design_scenario) > 1""",
+        with r as (select source_document, scenario_ordinal, section_role as l, 'stg_pump_config' as t from stg_pump_config union all select source_document, scenario_ordinal, section_role, 'stg_pump_config_copy' from stg_pump_config_copy)
+        select source_document, scenario_ordinal, string_agg(distinct l, '|' order by l) as labels, string_agg(distinct t, '|' order by t) as tables from r
+        where scenario_ordinal is not null and l is not null group by source_document, scenario_ordinal having count(distinct l) > 1""",
     "a20_coverage": """
         with c as (unpivot (select vendor_family, source_document, manufacturer, section_role, stages, top_md_ft, stages_per_housing_as_printed from stg_pump_config where vendor_family is not null and source_document is not null)
             on manufacturer, section_role, stages, top_md_ft, stages_per_housing_as_printed into name "column" value v),

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +9,9 @@ from millrace.functions import expressions as X
 from millrace.functions import typed
 from millrace.operators import grounding, records, resolve, routing, variants, versions, windows
 from millrace.plans import entries, rules
-from millrace.session import shared_dir, table
+from millrace.session import new_dir, table
 from millrace.sources import damaged_lines, reports, sinks
+from millrace.sources.store import BucketStore
 from millrace.streaming import writer
 
 
@@ -201,7 +198,7 @@ def e9_unknown_models(spark: SparkSession, d: str) -> DataFrame:
 
 
 def e12_near_names(spark: SparkSession, d: str) -> DataFrame:
-    return resolve.near_names(table(spark, d, "well_list"), "well_id")
+    return resolve.near_names(table(spark, d, "stg_pump_config"), "pump_model_as_printed")
 
 
 # ---- joins and set operations
@@ -255,7 +252,8 @@ def j6_semi(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j7_anti(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    """Customers none of whose orders is urgent and above 300,000."""
+    o = table(spark, d, "orders").where("o_orderpriority like '1%' and o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return table(spark, d, "customer").join(o, "c_custkey", "left_anti").select("c_custkey", "c_nationkey")
 
 
@@ -277,8 +275,9 @@ def u1_except_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def u2_symmetric(spark: SparkSession, d: str) -> DataFrame:
-    a, b = table(spark, d, "customer").select(F.col("c_nationkey").alias("k")), table(spark, d, "supplier").select(F.col("s_nationkey").alias("k"))
-    return a.subtract(b).withColumn("side", F.lit("a")).unionByName(b.subtract(a).withColumn("side", F.lit("b")))
+    """Customers with an order in one state and none in the other."""
+    o = table(spark, d, "orders")
+    return versions.symmetric_difference(o.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), o.where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("k")), "a", "b")
 
 
 def u3_intersect(spark: SparkSession, d: str) -> DataFrame:
@@ -438,8 +437,9 @@ def a14_poisoned_sum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def a18_label_conflicts(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "stg_pump_config").select("source_document", "scenario_ordinal", F.col("is_design_scenario").alias("label"), F.lit("pump_config").alias("t"))
-    return records.label_conflicts(rows, ["source_document"], "scenario_ordinal", "label", "t")
+    """Ordinals of a document that carry several roles, with the tables that hold them."""
+    part = lambda t: table(spark, d, t).select("source_document", "scenario_ordinal", F.col("section_role").alias("label"), F.lit(t).alias("t"))
+    return records.label_conflicts(part("stg_pump_config").unionByName(part("stg_pump_config_copy")), ["source_document"], "scenario_ordinal", "label", "t")
 
 
 def a20_coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -507,41 +507,53 @@ def r25_unique_labels(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ---- streaming
-def _stream_dir(spark: SparkSession, name: str) -> str:
-    root = shared_dir(spark).removeprefix("file:").replace("//", "/") if shared_dir(spark).startswith(("file:", "/")) else None
-    base = root if root and os.path.isdir(root) else None
-    return tempfile.mkdtemp(prefix=name, dir=base)
+def _file_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table of the driver as a file stream, whether it is one file or a folder."""
+    t = table(spark, d, name)
+    reader = spark.readStream.schema(t.schema)
+    whole = f"{d}/{name}.parquet"
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(d) if t.inputFiles() and t.inputFiles()[0].endswith(f"/{name}.parquet") else reader.parquet(whole)
 
 
 def st_confirm(spark: SparkSession, d: str) -> DataFrame:
     """A file stream of orders as requests: accepted rows once each, refusals with every reason."""
-    out = _stream_dir(spark, "confirm-")
-    schema = table(spark, d, "orders").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(_as_folder(d, "orders", out))
-    requests = stream.select(F.col("o_orderkey").cast("string").alias("confirmation_id"), "o_custkey", "o_totalprice", "o_orderstatus")
+    out = new_dir(spark, "confirm")
+    requests = _file_stream(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("confirmation_id"), "o_custkey", "o_totalprice", "o_orderstatus")
     query = writer.confirm_stream(spark, requests, {"customer": "o_custkey is not null", "price": "o_totalprice > 1000", "closed": "o_orderstatus <> 'P'"}, f"{out}/t", f"{out}/c")
     return writer.drain(query, lambda: spark.read.parquet(f"{out}/t/rows").select("confirmation_id", "o_custkey").withColumn("result", F.lit("accepted")).unionByName(spark.read.parquet(f"{out}/t/refused").select("confirmation_id", "o_custkey", F.array_join("problems", ",").alias("result"))))
 
 
 def st_latest(spark: SparkSession, d: str) -> DataFrame:
     """Last evidence wins over a file stream of events."""
-    out = _stream_dir(spark, "latest-")
-    stream = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "*.parquet").parquet(_as_folder(d, "events", out))
-    query = writer.latest_stream(spark, stream.select("user_id", "event_type", "event_id", "value", "ts"), ["user_id", "event_type"], ["ts", "event_id"], f"{out}/t", f"{out}/c")
-    query.awaitTermination()
-    last = max(int(x.split("=")[1]) for x in os.listdir(f"{out}/t") if x.startswith("v="))
-    return spark.read.parquet(f"{out}/t/v={last}").select("user_id", "event_type", "event_id", "value")
-
-
-def _as_folder(d: str, name: str, out: str) -> str:
-    """A folder to stream from: the table itself if it is one, else a folder with a link to its file."""
-    path = f"{d}/{name}.parquet"
-    if os.path.isdir(path):
-        return path
-    folder = f"{out}/in"
-    os.makedirs(folder, exist_ok=True)
-    shutil.copy(path, f"{folder}/{name}.parquet")
-    return folder
+    out, keys = new_dir(spark, "latest"), ["user_id", "event_type"]
+    stream = _file_stream(spark, d, "events").select(*keys, "event_id", "value", "ts")
+    query = writer.latest_stream(spark, stream, keys, ["ts", "event_id"], f"{out}/t", f"{out}/c")
+    return writer.drain(query, lambda: BucketStore(spark, f"{out}/t", keys).read().select(*keys, "event_id", "value"))
+
+
+def st_close_once(spark: SparkSession, d: str) -> DataFrame:
+    """The first event of each user closes the user's request, once."""
+    out = new_dir(spark, "closed")
+    stream = _file_stream(spark, d, "events").select("user_id", "ts", "event_id")
+    query = writer.first_stream(spark, stream, "user_id", "ts", f"{out}/t", f"{out}/c")
+    return writer.drain(query, lambda: BucketStore(spark, f"{out}/t", ["user_id"]).read().select("user_id", "ts", "event_id"))
+
+
+def st_object_records(spark: SparkSession, d: str) -> DataFrame:
+    """One record per object version from a stream of its events."""
+    out = new_dir(spark, "objects")
+    stream = _file_stream(spark, d, "events").select(F.col("ts").alias("event_time"), F.concat(F.lit("in/"), F.col("user_id")).alias("key"), F.col("event_type").alias("version"))
+    named = writer.object_events(stream, "3650 days").select("run_id", "key", "version")
+    query = named.writeStream.format("parquet").option("path", f"{out}/t").option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start()
+    return writer.drain(query, lambda: spark.read.parquet(f"{out}/t"))
+
+
+def st_transcription(spark: SparkSession, d: str) -> DataFrame:
+    """Requests by users' first events, results by their purchases, the rest judged at a given moment."""
+    e = table(spark, d, "events")
+    requests = e.select(F.col("user_id").alias("key"), F.col("ts").alias("requested_at"))
+    results = e.where("event_type = 'purchase'").select(F.col("user_id").alias("key"), F.when(F.col("value") > 50, "succeeded").otherwise("failed").alias("state"), F.col("ts").alias("created_at"))
+    return writer.transcription_state(requests, results, F.lit("2024-01-20").cast("timestamp"), 7 * 86_400)
 
 
 _NAMES = ("rec", "w", "v", "a", "typing", "expr", "e", "j", "d", "u", "k", "o", "s", "t", "rule", "r", "st")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,43 +14,68 @@ from millrace.functions.typed import strip
 
 
 def csv_dimension(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """A header CSV as a dimension: the last row of each lower-cased key holds. Order is the file's."""
-    rows = spark.read.option("header", True).csv(path).withColumn("__at", F.monotonically_increasing_id())
+    """A header CSV as a dimension: the last row of each lower-cased key holds. Order is by file name, then that of the lines in the file."""
+    rows = spark.read.option("header", True).csv(path)
+    names = rows.columns
+    at = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     low = [F.lower(F.trim(k)).alias(f"__{k}") for k in keys]
-    return rows.groupBy(*low).agg(F.max_by(F.struct(*[c for c in rows.columns if c != "__at"]), "__at").alias("r")).select("r.*")
+    return rows.select(*names, at.alias("__at")).groupBy(*low).agg(F.max_by(F.struct(*names), "__at").alias("r")).select("r.*")
+
+
+def _cells(content: bytes, legacy: str) -> Iterator[list[str]]:
+    """Rows of a CSV file, each cell UTF-8 if it is valid so, else in the legacy code page; quoted cells may hold commas and line ends."""
+    for row in csv.reader(io.StringIO(content.removeprefix(b"\xef\xbb\xbf").decode("latin-1"), newline="")):
+        out = []
+        for cell in row:
+            raw = cell.encode("latin-1")
+            try:
+                out.append(raw.decode("utf-8"))
+            except UnicodeDecodeError:
+                out.append(raw.decode(legacy, "replace"))
+        yield out
 
 
 def strict_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """(columns): exact values of a list that must be whole. Missing columns, ragged rows and bad encoding raise; blank lines and a BOM are passed over; exact repeats are dropped."""
-    raw = spark.read.format("binaryFile").load(path).select(F.col("content"))
-    bad = raw.where(~F.is_valid_utf8(F.col("content").cast("string")))
-    if bad.limit(1).count():
-        raise ValueError(f"{path}: not UTF-8")
-    head = spark.read.option("header", True).csv(path)
-    names = [c.lstrip("﻿") for c in head.columns]
-    missing = [c for c in columns if c not in names]
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)}")
-    schema = ", ".join(f"`{c}` string" for c in names)
-    rows = spark.read.schema(schema).options(header=True, mode="FAILFAST", enforceSchema=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    return rows.select(*columns).dropna("all").distinct()
+    """(columns): exact values of a list that must be whole, in the order of its lines.
+
+    Missing columns, rows of another width and bad encoding raise at once; blank lines and a BOM are
+    passed over; of exact repeats the first is kept. A list is one file that a task reads whole.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    rows = list(csv.reader(io.StringIO(bytes(content).decode("utf-8-sig"), newline=""), strict=True))
+                except (UnicodeDecodeError, csv.Error) as e:
+                    yield pd.DataFrame([(name, 0, None, f"not UTF-8 CSV: {e}")], columns=["file", "line_no", "cells", "problem"])
+                    continue
+                head, out = rows[0] if rows else [], []
+                missing = [c for c in columns if c not in head]
+                if missing:
+                    out.append((name, 0, None, f"no column {', '.join(missing)}"))
+                for no, row in enumerate(rows[1:], 2):
+                    if row and not missing:
+                        out.append((name, no, [row[head.index(c)] for c in columns], None) if len(row) == len(head) else (name, no, None, f"line {no} has {len(row)} fields"))
+                yield pd.DataFrame(out, columns=["file", "line_no", "cells", "problem"])
+
+    parsed = spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "file string, line_no int, cells array<string>, problem string")
+    bad = parsed.where("problem is not null").select("file", "problem").limit(5).collect()
+    if bad:
+        raise ValueError("; ".join(f"{r.file}: {r.problem}" for r in bad))
+    first = parsed.groupBy("cells").agg(F.min(F.struct("file", "line_no")).alias("at")).orderBy("at")
+    return first.select(*[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(columns)])
 
 
 def mixed_encoding_csv(spark: SparkSession, path: str, legacy: str = "cp1252") -> DataFrame:
-    """(line_no, cells): each cell is UTF-8 if it is valid so, else in the legacy code page; trailing cells without a header are dropped."""
+    """(line_no, cells) of the records of a CSV file, each cell UTF-8 if it is valid so, else in the legacy code page; trailing cells without a header are dropped."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for content in pdf["content"]:
                 width = None
-                for no, line in enumerate(bytes(content).splitlines(), 1):
-                    cells = []
-                    for cell in line.split(b","):
-                        try:
-                            cells.append(cell.decode("utf-8"))
-                        except UnicodeDecodeError:
-                            cells.append(cell.decode(legacy, "replace"))
+                for no, cells in enumerate(_cells(bytes(content), legacy), 1):
                     if width is None:
                         while cells and not cells[-1].strip():
                             cells.pop()

@@ -45,10 +45,15 @@ def upsert(log: DataFrame, changes: DataFrame, keys: list[str], order: str) -> D
 
 
 def sidecar(df: DataFrame, path: str) -> DataFrame:
-    """(name, metadata) rows for the ``.name.metadata.json`` files beside objects."""
+    """(file, metadata as JSON) for the ``.name.metadata.json`` files beside objects."""
     return df.select(F.concat(F.lit(path + "/."), F.col("name"), F.lit(".metadata.json")).alias("file"), F.to_json("metadata").alias("metadata"))
 
 
+def write_sidecar(df: DataFrame, path: str) -> None:
+    """The metadata beside the objects below ``path``, as one side table keyed by file instead of many small files."""
+    sidecar(df, path).write.mode("overwrite").parquet(f"{path}/.metadata")
+
+
 def relocate(json_text: Column, old: str, new: str) -> Column:
     """Every path in a JSON text moved from ``old`` to ``new``."""
     return F.replace(json_text, F.lit(old), F.lit(new))
