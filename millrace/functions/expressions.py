@@ -85,3 +85,23 @@ def page_numbers(cited: Column, longest: int = 50) -> Column:
 def is_stale(status: Column, deadline: Column, now: Column) -> Column:
     """Running past its deadline; ``now`` is given, never read from the clock."""
     return (status == "running") & (deadline < now)
+
+
+def file_label(text: Column, ending: str = ".pdf") -> Column:
+    """A percent-decoded plain file name: printable, no path in it, of the given ending; else null."""
+    name = decode_label(text)
+    return F.when(name.rlike(r"^[^/\\\p{Cc}]+$") & name.endswith(ending), name)
+
+
+def hex_label(text: Column, digits: int) -> Column:
+    return F.when(text.rlike(f"^[0-9a-f]{{{digits}}}$"), text)
+
+
+def one_of(text: Column, allowed: list[str]) -> Column:
+    """An optional label: null unless it is one of the values it may have."""
+    return F.when(text.isin(allowed), text)
+
+
+def clamped(left: Column, margin: int, most: int) -> Column:
+    """What is left less a margin, at most ``most``."""
+    return F.least(left - F.lit(margin), F.lit(most).cast("long"))

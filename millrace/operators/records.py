@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import alnum_key, half_last_digit
+from millrace.functions.expressions import alnum_key, at_reference_frequency, half_last_digit, per_stage, surrogate_key
+from millrace.functions.typed import UNIT_DIMENSION
 from millrace.operators.versions import classify
 
 
@@ -201,3 +202,29 @@ def unique_labels(rows: DataFrame, label: str, key: str, out: str) -> DataFrame:
 def queue_state(age_s: Column, running: Column, slots: int, slow_s: int = 300) -> Column:
     """State of a request by its age and how many run."""
     return F.when(running >= slots, "queued").when(age_s > slow_s, "delayed").otherwise("starting")
+
+
+def observation_rows(observations: DataFrame, envelope: list[str], withdrawn: list[str]) -> DataFrame:
+    """The load projection of curve points: key, label, flags, head and its value at the reference speed.
+
+    A head printed in a pressure unit is refused: its value is null and ``head_reason`` says so.
+    Missing stages leave a total head without a per-stage value. Rows are neither dropped nor merged.
+    """
+    cell = lambda c: F.nullif(F.regexp_extract(F.trim(c), r"(?s)^([-+]?[\d,]*\.?\d+)\s*(.*)$", 1), F.lit(""))
+    number = lambda c: F.replace(cell(c), F.lit(","), F.lit("")).try_cast("double")
+    pressure = F.coalesce(F.lower(F.trim("head_unit_as_printed")).isin(*[u for u, dim in UNIT_DIMENSION.items() if dim == "pressure"]), F.lit(False))
+    head = F.when(~pressure, number("head_as_printed"))
+    at_speed = at_reference_frequency(head, number("frequency_hz_as_printed"), 2)
+    return observations.select(
+        "obs_id",
+        surrogate_key("obs_", F.col("source_document"), F.col("pump_model_as_printed"), F.col("point_type"), F.col("flow_as_printed"), F.col("head_as_printed")).alias("observation_key"),
+        F.coalesce(F.nullif(F.trim("scenario_title_as_printed"), F.lit("")), F.trim("pump_model_as_printed")).alias("label"),
+        F.col("point_type").isin(envelope).alias("is_envelope"), F.coalesce(F.col("curve_observation_role").isin(withdrawn), F.lit(False)).alias("is_withdrawn"), (F.lower(F.trim("observation_is_composite")) == "true").alias("is_composite"),
+        head.alias("head"), F.when(pressure & number("head_as_printed").isNotNull(), "pressure_unit").alias("head_reason"),
+        per_stage(at_speed, F.trim("stages_at_observation").try_cast("double"), F.coalesce("head_basis_as_printed", F.lit(""))).alias("head60"),
+    )
+
+
+def type_problems(types: dict[str, str]) -> Column:
+    """Array of the columns whose text is there but is no value of its declared type."""
+    return F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & F.trim(c).try_cast(t).isNull(), F.lit(c)) for c, t in types.items()]))

@@ -118,3 +118,29 @@ def same_model(a: Column, b: Column) -> Column:
     """Canonical names equal, or their keys equal or one the beginning of the other."""
     x, y = alnum_key(a), alnum_key(b)
     return (a == b) | ((x != "") & (y != "") & (x.startswith(y) | y.startswith(x)))
+
+
+def first_filled(*columns: str) -> Column:
+    """The first of several columns that holds more than blanks, trimmed; null if none does."""
+    return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns])
+
+
+def by_lookup(rows: DataFrame, key: str, printed: str, family: str, generic: str, seed: DataFrame) -> DataFrame:
+    """(key, canonical): rows of a family by that family's seed, rows of the generic one by the texts that mean one model in every family.
+
+    Both lookups are one join each on the distinct texts; what is chosen is decided per row, so another
+    lookup can be put in by giving another ``seed``.
+    """
+    keyed = rows.select(F.col(key), F.col(family).alias("family"), F.lower(F.trim(printed)).alias("printed_key"))
+    own = seed.select("family", "printed_key", F.col("canonical").alias("own"))
+    free = family_free_seed(seed.select("printed_key", "canonical", "basis")).select("printed_key", F.col("canonical").alias("free"))
+    j = keyed.join(own, ["family", "printed_key"], "left").join(free, "printed_key", "left")
+    return j.select(key, F.when(F.col("family") == generic, F.col("free")).otherwise(F.col("own")).alias("canonical"))
+
+
+def conflict_kinds(rows: DataFrame, a: str, b: str, catalogue: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``kind``: ``benign`` if both printed forms name one model of the catalogue, else ``conflict``."""
+    forms = rows.select(F.explode(F.array(a, b)).alias("n"))
+    found = catalogue_lookup(forms, "n", catalogue, name).where("match is not null").select("printed", "match")
+    j = rows.join(found.select(F.col("printed").alias(a), F.col("match").alias("__a")), a, "left").join(found.select(F.col("printed").alias(b), F.col("match").alias("__b")), b, "left")
+    return j.withColumn("kind", F.when(F.col("__a") == F.col("__b"), "benign").otherwise("conflict")).drop("__a", "__b")

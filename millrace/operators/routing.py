@@ -42,6 +42,37 @@ def keep_pages(pages: DataFrame, document: str, page_no: str, roles: str, text:
     return out.withColumn("new_no", F.when(F.col("kept"), F.sum(F.col("kept").cast("int")).over(w))).withColumn("low_yield", F.length(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?U)\s", "")) < LOW_YIELD)
 
 
+def first_lines(pages: DataFrame, key: list[str], text: str, matchers: list[tuple[str, str, str, str]]) -> DataFrame:
+    """(key, role, status, line): for each matcher (role, status, kind, needle) that a page meets the first line it meets, as it stands.
+
+    Kinds: ``line`` the whole line, ``start`` its beginning, ``title`` the beginning of the page's
+    first line, ``re`` a pattern in it. Matchers are few and fixed, so they are predicates.
+    """
+    fits = {"line": lambda n: lambda x: x == n, "start": lambda n: lambda x: x.startswith(n), "title": lambda n: lambda x: x.startswith(n), "re": lambda n: lambda x: x.rlike(n)}
+    ls = F.split(F.coalesce(F.col(text), F.lit("")), "\r?\n")
+    hay = lambda kind: F.slice(F.filter("l", lambda x: F.trim(x) != ""), 1, 1) if kind == "title" else F.col("l")
+    one = [F.struct(F.lit(role).alias("role"), F.lit(status).alias("status"), F.get(F.filter(hay(kind), fits[kind](needle)), F.lit(0)).alias("line")) for role, status, kind, needle in matchers]
+    hits = pages.select(*key, ls.alias("l")).select(*key, F.explode(F.filter(F.array(*one), lambda m: m["line"].isNotNull())).alias("m"))
+    return hits.select(*key, "m.*")
+
+
+def missing_roles(pages: DataFrame, document: str, hits: DataFrame, required: list[str]) -> DataFrame:
+    """(document, missing): the required roles that no page of a document meets, in their order; documents that miss none have an empty list."""
+    seen = hits.groupBy(document).agg(F.collect_set("role").alias("seen"))
+    j = pages.select(document).distinct().join(seen, document, "left")
+    return j.select(document, F.array_except(F.array(*map(F.lit, required)), F.coalesce("seen", F.array().cast("array<string>"))).alias("missing"))
+
+
+def route_of(family: Column, near: Column, missing: Column, forced: Column) -> Column:
+    """struct<route, hint>: ``template`` for a known family with all its pages; ``generic`` hinting at the family if pages are missing, at nothing if forced, at the nearest if unknown; else ``refused`` with the reason."""
+    out = lambda route, hint: F.struct(F.lit(route).alias("route"), hint.cast("string").alias("hint"))
+    none = F.lit(None)
+    return (
+        F.when(family.isin("no_text", "ambiguous"), out("refused", family)).when(family == "unknown", out("generic", near)).when(F.size(missing) > 0, out("generic", family))
+        .when(forced, out("generic", none)).otherwise(out("template", family))
+    )
+
+
 def private_use(text: str) -> Column:
     """Whether glyphs of the private use area are left in a text."""
     return F.col(text).rlike(r"[-]")

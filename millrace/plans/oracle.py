@@ -82,7 +82,7 @@ _DIFF = f"""
 
 _UNITS = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v or "none") for k, v in UNIT_DIMENSION.items())
 
-_CELLS = f"""
+CELLS = f"""
     unit_names(unit, ud) as (values {_UNITS}),
     c as (unpivot (select config_id, stages, housing_count, top_md_ft, bottom_md_ft, is_design_scenario from stg_pump_config) on stages, housing_count, top_md_ft, bottom_md_ft, is_design_scenario into name "column" value raw),
     t as (select *, trim(raw) as t, "column" = 'is_design_scenario' as is_bool, "column" in ('stages', 'housing_count') as is_int, case when "column" like '%_ft' then 'length' end as dim from c),
@@ -152,8 +152,8 @@ ORACLE = {
         with o as (select o_custkey, count_if(month(o_orderdate) <= 6) as a, count_if(month(o_orderdate) > 6) as b from orders group by o_custkey)
         select o_custkey, a::bigint as a, b::bigint as b, case when a > 0 then round((b - a) * 100.0 / a, 2)::double end as delta from o""",
     "a16_fingerprint": "select sha256(text) as fingerprint, count(*) as n, count(distinct source) as n_parents, min(doc_id) as first_key from documents where text is not null group by 1 having count(*) > 1",
-    "typing_parse_scalar": f"with {_CELLS} select * from cells",
-    "typing_quarantine": f"""with {_CELLS} select "column", reason, count(*) as n, min(raw) as least from cells where reason is not null group by all""",
+    "typing_parse_scalar": f"with {CELLS} select * from cells",
+    "typing_quarantine": f"""with {CELLS} select "column", reason, count(*) as n, min(raw) as least from cells where reason is not null group by all""",
     "typing_props": """
         select key, count(*) as n, sum(try_cast(v as bigint))::bigint as total from (
             select unnest(json_keys(props)) as key, json_extract_string(props, unnest(json_keys(props))) as v from events) where key not in ('ref', 'source') group by key""",
@@ -276,8 +276,8 @@ ORACLE = {
     "st_object_records": """
         select distinct strftime(ts, '%Y%m%dT%H%M%S') || '-' || substr(sha256('in/' || user_id || '@' || event_type), 1, 8) as run_id, 'in/' || user_id as key, event_type as version from events""",
     "st_transcription": """
-        with q as (select user_id as key, min(ts) as at from events group by 1), r as (select user_id as key, arg_min(case when value > 50 then 'succeeded' else 'failed' end, {'t': ts, 's': case when value > 50 then 'succeeded' else 'failed' end}) as state from events where event_type = 'purchase' group by 1)
-        select key, coalesce(state, case when floor(epoch(timestamp '2024-01-20')) - floor(epoch(at)) > 7 * 86400 then 'timed_out' else 'running' end) as state from q left join r using (key)""",
+        with q as (select user_id as key, min(ts) as moment from events group by 1), r as (select user_id as key, arg_min(case when value > 50 then 'succeeded' else 'failed' end, {'t': ts, 's': case when value > 50 then 'succeeded' else 'failed' end}) as state from events where event_type = 'purchase' group by 1)
+        select key, coalesce(state, case when floor(epoch(timestamp '2024-01-20')) - floor(epoch(moment)) > 7 * 86400 then 'timed_out' else 'running' end) as state from q left join r using (key)""",
     "s4_jsonl": """
         with l as (select block, trim(raw_line, ' ') as t from raw_lines where source_file like '%.md' and raw_line is not null)
         select block, count(*) as n, count_if(not coalesce(t like '{%' and t like '%}' and json_valid(t), false))::bigint as n_broken from l where t <> '' and t not like '```%' group by block""",

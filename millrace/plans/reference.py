@@ -542,7 +542,7 @@ def st_close_once(spark: SparkSession, d: str) -> DataFrame:
 def st_object_records(spark: SparkSession, d: str) -> DataFrame:
     """One record per object version from a stream of its events."""
     out = new_dir(spark, "objects")
-    stream = _file_stream(spark, d, "events").select(F.col("ts").alias("event_time"), F.concat(F.lit("in/"), F.col("user_id")).alias("key"), F.col("event_type").alias("version"))
+    stream = _file_stream(spark, d, "events").select(F.col("ts").cast("timestamp").alias("event_time"), F.concat(F.lit("in/"), F.col("user_id")).alias("key"), F.col("event_type").alias("version"))
     named = writer.object_events(stream, "3650 days").select("run_id", "key", "version")
     query = named.writeStream.format("parquet").option("path", f"{out}/t").option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start()
     return writer.drain(query, lambda: spark.read.parquet(f"{out}/t"))

@@ -33,6 +33,13 @@ def frontmatter(reports: DataFrame) -> DataFrame:
     return reports.select("report_id", F.map_from_entries(F.transform(rows, entry)).alias("frontmatter"))
 
 
+def regions(reports: DataFrame) -> DataFrame:
+    """(report_id, block, line_no) of every heading that opens a data block."""
+    w = W.partitionBy("report_id").orderBy("line_no")
+    heads = lines(reports).withColumn("next", F.lead("line").over(w)).where(F.col("line").rlike(r"^##\s") & F.trim("next").startswith(FENCE + "jsonl"))
+    return heads.select("report_id", F.trim(F.regexp_extract("line", r"^##\s+(.*)$", 1)).alias("block"), "line_no")
+
+
 def block_lines(reports: DataFrame, strict: bool = False) -> DataFrame:
     """(report_id, block, line_no, line) of the lines inside data blocks.
 
