@@ -15,6 +15,7 @@ import json
 import re
 from collections.abc import Iterator
 from datetime import date
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,7 +70,7 @@ def invalid_field(values: dict, empty_is_absent: bool) -> str | None:
     return None
 
 
-def _viterbi(text: str, start: int, accept: int, n_states: int, moves, inserts, order) -> tuple[int, list[str]]:
+def _viterbi(text: str, start: int, accept: int, moves, inserts, order) -> tuple[int, list[str]]:
     """Cheapest edit script over an automaton.
 
     moves(state, char) -> [(state, cost, verb)] consume a character; inserts[state] -> [(state,
@@ -77,35 +78,37 @@ def _viterbi(text: str, start: int, accept: int, n_states: int, moves, inserts,
     in the line.
     """
     n = len(text)
-    now = [_FAR] * n_states
-    now[start] = 0
+    now: dict[int, int] = {start: 0}
     back: list[dict[int, tuple]] = []
 
-    def settle(cost: list[int], links: dict[int, tuple]) -> None:
-        for _ in (0, 1):
-            for s in order:
-                if cost[s] < _FAR:
-                    for t, c, what in inserts[s]:
-                        if cost[s] + c < cost[t]:
-                            cost[t] = cost[s] + c
-                            links[t] = (s, what, True)
+    def settle(cost: dict[int, int], links: dict[int, tuple]) -> None:
+        for s in (*order, *order):
+            c0 = cost.get(s)
+            if c0 is not None:
+                for t, c, what in inserts[s]:
+                    c += c0
+                    if c < cost.get(t, _FAR):
+                        cost[t] = c
+                        links[t] = (s, what, True)
 
     links: dict[int, tuple] = {}
     settle(now, links)
     back.append(links)
     for ch in text:
-        then, links = [_FAR] * n_states, {}
-        for s in range(n_states):
-            if now[s] < _FAR:
-                for t, c, verb in moves(s, ch):
-                    if now[s] + c < then[t]:
-                        then[t] = now[s] + c
-                        links[t] = (s, verb, False)
+        then: dict[int, int] = {}
+        links = {}
+        for s in sorted(now):
+            c0 = now[s]
+            for t, c, verb in moves(s, ch):
+                c += c0
+                if c < then.get(t, _FAR):
+                    then[t] = c
+                    links[t] = (s, verb, False)
         settle(then, links)
         back.append(links)
         now = then
     edits, s, i = [], accept, n
-    if now[accept] >= _FAR:
+    if accept not in now:
         return _FAR, []
     while True:
         link = back[i].get(s)
@@ -152,7 +155,7 @@ def repair_csv(line: str, n_fields: int) -> tuple[int, list[str]]:
             return [(4 * min(f + 1, m), 0, "")]
         return [(s, QUOTE, "delete " + ch)] if k == 3 else [(b + 1, 0, "")]
 
-    return _viterbi(line, 0, ends, ends + 1, moves, inserts, range(ends))
+    return _viterbi(line, 0, ends, moves, inserts, range(ends))
 
 
 def _delimiter_edits(line: str, n_fields: int) -> tuple[int, list[str]]:
@@ -204,6 +207,7 @@ for _s in _ENDS_VALUE:
 _ORDER = (BEGIN, FIRST, AGAIN, KEY, COLON, VALUE, TEXT, *_ENDS_VALUE, NEXT)
 
 
+@lru_cache(maxsize=100_000)
 def _json_moves(s: int, ch: str) -> list[tuple]:
     if s in (KEY, TEXT):
         inner = KEY_ESC if s == KEY else TEXT_ESC
@@ -239,18 +243,19 @@ def repair_json(line: str) -> tuple[int, list[str]]:
     does not begin with ``{`` or end with ``}``.
     """
     if line[:1] != "{" or len(line) < 2:
-        return _viterbi(line, BEGIN, DONE, _N_STATES, _json_moves, _INSERTS, _ORDER)
+        return _viterbi(line, BEGIN, DONE, _json_moves, _INSERTS, _ORDER)
     if line[-1] != "}":
-        cost, edits = _viterbi(line[1:], FIRST, DONE, _N_STATES, _json_moves, _INSERTS, _ORDER)
+        cost, edits = _viterbi(line[1:], FIRST, DONE, _json_moves, _INSERTS, _ORDER)
         return cost, _moved(edits)
     inside = [[m for m in ms if m[0] != DONE] for ms in _INSERTS]
     best = (_FAR, [])
     for end in (NEXT, FIRST):  # the object closes after a value or is empty
-        found = _viterbi(line[1:-1], FIRST, end, _N_STATES, _inner_moves, inside, _ORDER)
+        found = _viterbi(line[1:-1], FIRST, end, _inner_moves, inside, _ORDER)
         best = min(best, found, key=lambda f: f[0])
     return best[0], _moved(best[1])
 
 
+@lru_cache(maxsize=100_000)
 def _inner_moves(s: int, ch: str) -> list[tuple]:
     return [m for m in _json_moves(s, ch) if m[0] != DONE]
 
