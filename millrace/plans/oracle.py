@@ -1,7 +1,5 @@
 """DuckDB twins of the named queries."""
 
-from millrace.functions.typed import UNIT_DIMENSION
-
 _BRANDS = ", ".join(f"'Brand#{i}'" for i in range(11, 26))
 
 _VERSIONS = """
@@ -80,7 +78,13 @@ _DIFF = f"""
     union all select p.source_document, p.scenario_ordinal, p.section_order, '*', 'only_port' from p where not exists (select 1 from r where {_SAME})
     union all {" union all ".join(_field_category(f, f in _NUMERIC) for f in _FIELDS)}"""
 
-_UNITS = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v or "none") for k, v in UNIT_DIMENSION.items())
+# The unit tokens of each dimension, written down here once more so that the twins do not depend on the engine's table.
+_VOCABULARY = {
+    "length": "ft ' feet (ft)", "pressure": "psi psia psig (psi)", "power": "kw hp bhp", "frequency": "hz (hz)", "voltage": "v volts", "temperature": "f f° °f ºf (f) degf", "none": "° º",
+    "api": "api ºapi °api", "sg": "spgr sg", "density": "lb/ft3 lb/ft³ lbm/ft3", "ratio": "% (0-1) frac", "speed": "rpm", "flow": "bpd bbl/d stb/d stb/day b/d bbl/day",
+    "gradient": "psi/ft", "gor": "scf/stb scf/bbl scf/bl", "gas_rate": "mcf/d mscf/d scf/d bpd_gas",
+}
+_UNITS = ", ".join("('{}', '{}')".format(u.replace("'", "''"), dim) for dim, units in _VOCABULARY.items() for u in units.split())
 
 CELLS = f"""
     unit_names(unit, ud) as (values {_UNITS}),
@@ -154,6 +158,21 @@ ORACLE = {
     "a16_fingerprint": "select sha256(text) as fingerprint, count(*) as n, count(distinct source) as n_parents, min(doc_id) as first_key from documents where text is not null group by 1 having count(*) > 1",
     "typing_parse_scalar": f"with {CELLS} select * from cells",
     "typing_quarantine": f"""with {CELLS} select "column", reason, count(*) as n, min(raw) as least from cells where reason is not null group by all""",
+    "typing_observations": f"""
+        with unit_names(unit, ud) as (values {_UNITS}),
+        c as (unpivot (select obs_id, head_as_printed, power_as_printed, frequency_hz_as_printed, stages_at_observation, free_gas_at_inlet_pct from stg_curve_observations)
+            on head_as_printed, power_as_printed, frequency_hz_as_printed, stages_at_observation, free_gas_at_inlet_pct into name "column" value raw),
+        dims(name, dim) as (values ('head_as_printed', 'length'), ('power_as_printed', 'power'), ('frequency_hz_as_printed', 'frequency'), ('stages_at_observation', null), ('free_gas_at_inlet_pct', 'ratio')),
+        t as (select *, regexp_replace(raw, '^[\\s\\pZ]+|[\\s\\pZ]+$', '', 'g') as t from c join dims on name = "column"),
+        n as (select *, regexp_matches(t, '^[-+]?[\\d,.]+\\s*(-|–|to)\\s*[\\d,.]+') as rng, try_cast(replace(regexp_extract(t, '^([-+]?[\\d,]*\\.?\\d+)\\s*(.*)$', 1), ',', '') as double) as v, trim(regexp_extract(t, '^([-+]?[\\d,]*\\.?\\d+)\\s*(.*)$', 2)) as rest from t),
+        b as (select *, trim(regexp_replace(rest, '\\([^)]*\\)', '', 'g')) as bare from n),
+        u as (select *, case when rng then '' else lower(regexp_replace(trim(case when bare <> '' then bare else rest end), '^[.,;]+|[.,;]+$', '', 'g')) end as unit from b),
+        w as (select u.*, unit_names.ud from u left join unit_names using (unit)),
+        y as (select *, case when t = '' then 'empty_string' when rng then 'range_not_scalar' when v is null then 'not_numeric' when ud is null and regexp_matches(unit, '\\d') then 'composite_value' when unit <> '' and ud is null then 'unrecognized_unit_token'
+            when unit <> '' and ud <> 'none' and dim is not null and ud <> dim then 'unit_dimension_mismatch' end as why from w),
+        z as (select "column", coalesce(why, case when "column" = 'stages_at_observation' and abs(v - round(v)) > 1e-9 then 'non_integer_in_integer_column' end) as reason, case when why is not null and why <> 'unrecognized_unit_token' then null when "column" = 'stages_at_observation' and abs(v - round(v)) > 1e-9 then null
+            when unit = '(0-1)' and dim = 'ratio' then v * 100 else v end as value from y)
+        select "column", reason, count(*) as n, round(sum(value), 2) as total from z group by all""",
     "typing_props": """
         select key, count(*) as n, sum(try_cast(v as bigint))::bigint as total from (
             select unnest(json_keys(props)) as key, json_extract_string(props, unnest(json_keys(props))) as v from events) where key not in ('ref', 'source') group by key""",
@@ -297,6 +316,9 @@ ORACLE = {
     "rec_collapse": """
         with r as (select *, o_orderstatus = 'O' as open, case when o_custkey % 5 <> 0 then o_orderpriority end as p from orders)
         select o_custkey, arg_min(p, {'d': o_orderdate, 'k': o_orderkey}) as o_orderpriority, bool_and(open) as all_open, min(o_totalprice) as min_o_totalprice, max(o_totalprice) as max_o_totalprice from r group by o_custkey""",
+    "rec_merged_json": """
+        with c as (select user_id, ts, event_id, unnest(json_keys(props)) as k, json_extract_string(props, unnest(json_keys(props))) as v from events), l as (select user_id, k, arg_max(v, {'t': ts, 'e': event_id}) as v from c group by all)
+        select user_id, '{' || string_agg('"' || k || '":"' || v || '"', ',' order by k) || '}' as merged from l group by user_id""",
     "rec_preferred": """
         select config_id, coalesce(top_md_ft, bottom_md_ft) as value, case when top_md_ft is not null then 'top' when bottom_md_ft is not null then 'bottom' end as source,
             case when top_md_ft is not null and bottom_md_ft is not null then 'bottom=' || bottom_md_ft else '' end as others from stg_pump_config""",
