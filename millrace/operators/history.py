@@ -79,7 +79,9 @@ def history(changes: DataFrame, spec: ChainSpec, split: Column, path: str | None
     the result does not depend on the split. An empty input gives no rows.
     """
     late = F.coalesce(split, F.lit(False))
-    store = ChainStore(changes.sparkSession, path or new_dir(changes.sparkSession, "chains"), spec)
+    spark = changes.sparkSession
+    # a store made here is read here only, so its buckets may follow the cluster's size
+    store = ChainStore(spark, path or new_dir(spark, "chains"), spec, spark.sparkContext.defaultParallelism)
     store.load(changes.where(~late))
     store.apply(changes, changes.where(late))
     found = store.read()
