@@ -125,7 +125,8 @@ def convert(rows: DataFrame, value: Column, unit: Column, note: Column, reader:
 
     ``reader`` takes the unit out of ``note``. ``dim`` is 'length' (feet) or 'pressure' (psia). ``reason`` says why ``value`` is null:
     ``absent``, ``not_a_number`` or ``other_dimension``. A cell that names no unit anywhere is in
-    the target unit already. A column called ``out`` is replaced; others pass through.
+    the target unit already; so counts, here, a text in a unit's place that names none known: it stands in
+    ``unit`` while ``unit_from`` is null. A column called ``out`` is replaced; others pass through.
 
     Written in fenced projections: each names what the next uses more than once, so that no
     expression is repeated in the generated code.
@@ -145,9 +146,13 @@ def convert(rows: DataFrame, value: Column, unit: Column, note: Column, reader:
     third = two.withColumn(f"{w}t3", fenced(F.when(F.col(f"{w}u1").isNull() & F.col(f"{w}u2").isNull() & F.col(f"{w}note").isNotNull(), reader(F.col(f"{w}note")))))
     found = third.withColumn(f"{w}u3", fenced(look(F.col(f"{w}t3"))))
     struct = lambda i, where: F.struct(F.lit(where).alias("place"), F.col(f"{w}u{i}").alias("u"), F.trim(f"{w}t{i}").alias("text"), (F.coalesce(F.col(f"{w}m{i}").try_cast("double"), F.lit(1.0)) if i < 3 else F.lit(1.0)).alias("times"))
+    worded = lambda i: F.col(f"{w}t{i}").rlike(r"\p{L}")
     chosen = found.select(
         *keep, f"{w}n", f"{w}none",
-        fenced(F.when(F.col(f"{w}u1").isNotNull(), struct(1, "value")).when(F.col(f"{w}u2").isNotNull(), struct(2, "column")).when(F.col(f"{w}u3").isNotNull(), struct(3, "note"))).alias(f"{w}c"),
+        fenced(
+            F.when(F.col(f"{w}u1").isNotNull(), struct(1, "value")).when(F.col(f"{w}u2").isNotNull(), struct(2, "column")).when(F.col(f"{w}u3").isNotNull(), struct(3, "note"))
+            .when(worded(1), struct(1, None)).when(worded(2), struct(2, None))
+        ).alias(f"{w}c"),
     )
     u, n = F.col(f"{w}c.u"), F.col(f"{w}n")
     other = u["dim"] != F.lit(dim)

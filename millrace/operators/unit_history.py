@@ -8,8 +8,9 @@ Two stages:
   cut by exact penalised changepoint search, and a level that stands off that of most rows by a known
   factor is a silent change of unit, reported with the factor that reverses it.
 
-The second stage cannot decide single rows (a unit stated for one row inside an unbroken history
-is no level shift), so row-level answers come from the first; the README gives figures.
+``found`` and ``converted`` go through both. The second stage cannot contradict a stated unit (a unit stated
+for one row inside an unbroken history is no level shift), so it decides rows whose unit the first could not
+read, and in ``converted`` those that print none; the README gives figures.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ KNOWN_FACTORS = {
     "bubble_point": {"kPa": 6.894757293, "bar": 1 / 14.50377377, "MPa": 1 / 145.0377377, "ksi": 1 / 1000.0, "kg/cm2": 1 / 14.22334331, "atm": 1 / 14.69594878},
 }
 
+# What places a row in a history; null where a table lacks it.
+_HISTORY = {"organization_id": "string", "well_id": "string", "head_basis_as_printed": "string", "effective_from": "string", "source_document": "string", "loaded_at": "timestamp"}
+
 SEGMENT_SCHEMA = "quantity string, source string, segment_no int, from_day date, to_day date, from_at timestamp, to_at timestamp, n_rows long, mean_value double, shift double, unit_change string, reverse_by double, from_key string, to_key string"
 _BLOCK_SCHEMA = "quantity string, source string, from_at timestamp, to_at timestamp, from_key string, to_key string, n double, level double, spread double, noise double"
 
@@ -259,10 +263,16 @@ def silent_changes(levels: DataFrame) -> DataFrame:
 
 
 def found(observations: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(table_name, row_id) of rows whose printed number must change to be in feet or psia."""
-    heads = convert_heads(observations).where("head.changed").select(F.lit("stg_curve_observations").alias("table_name"), F.col("obs_id").alias("row_id"))
-    points = convert_bubble_points(contexts).where("bubble_point.changed").select(F.lit("esp_well_design_context").alias("table_name"), F.col("context_id").alias("row_id"))
-    return heads.unionByName(points)
+    """(table_name, row_id) of rows whose printed number must change to be in feet or psia.
+
+    The unit a row states decides. Where the text in a unit's place names none known, the segment decides
+    in which the row stands: off by a known factor, its number must change. A row that prints no unit
+    at all is no case by definition, whatever its segment says (``converted`` puts it right). Every
+    row is in its history, which is cut whole.
+    """
+    unread = F.col("unit").isNotNull() & F.col("unit_from").isNull() & F.col("value").isNotNull()
+    rows = cut(_well_rows(observations, contexts).select("table_name", "row_id", "quantity", "source", "at", "document", "value", "changed", unread.alias("unread")))
+    return _with_silent(rows).where("changed or (unread and silent_unit is not null)").select("table_name", "row_id")
 
 
 def converted(observations: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -274,8 +284,7 @@ def converted(observations: DataFrame, contexts: DataFrame) -> DataFrame:
     histories read them again.
     """
     rows = cut(_well_rows(observations, contexts))
-    off = silent_changes(_levels(rows, "value")).select("quantity", "row_id", F.col("unit_change").alias("silent_unit"), "reverse_by")
-    both = rows.join(off, ["quantity", "row_id"], "left")
+    both = _with_silent(rows)
     unstated = F.col("unit_from").isNull() & F.col("silent_unit").isNotNull()
     name = F.when(F.col("quantity") == "head", "head_ft").otherwise("bubble_point_psia")
     return both.select(
@@ -285,18 +294,19 @@ def converted(observations: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def _well_rows(observations: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Converted rows of both quantities with the history they belong to: (table_name, row_id, quantity, source, at, document, number, unit, unit_from, value, reason).
+    """Converted rows of both quantities with the history they belong to: (table_name, row_id, quantity, source, at, document, number, unit, unit_from, value, changed, reason).
 
     A history is a well's (of heads a well's and basis's), in order of the day its rows speak of where
     they state one, else of loading. Rows without organisation or well have no source.
     """
+    observations, contexts = (t.withColumns({c: F.lit(None).cast(kind) for c, kind in _HISTORY.items() if c not in t.columns}) for t in (observations, contexts))
     named = F.col("organization_id").isNotNull() & F.col("well_id").isNotNull()
     well = F.concat_ws(" | ", "organization_id", "well_id")
-    day = F.coalesce(printed_day(F.col("effective_from")).cast("timestamp"), F.col("loaded_at").cast("timestamp")) if "effective_from" in contexts.columns else F.col("loaded_at")
+    day = F.coalesce(printed_day(F.col("effective_from")).cast("timestamp"), F.col("loaded_at").cast("timestamp"))
 
     def one(rows: DataFrame, table: str, quantity: str, ident: str, source: Column, at: Column) -> DataFrame:
         kept = [F.lit(table).alias("table_name"), F.col(ident).alias("row_id"), F.lit(quantity).alias("quantity"), F.when(named, source).alias("source"), at.cast("timestamp").alias("at"), F.col("source_document").alias("document")]
-        return rows.select(*kept, *[F.col(f"{quantity}.{c}") for c in ("number", "unit", "unit_from", "value", "reason")])
+        return rows.select(*kept, *[F.col(f"{quantity}.{c}") for c in ("number", "unit", "unit_from", "value", "changed", "reason")])
 
     heads = one(convert_heads(observations), "stg_curve_observations", "head", "obs_id", F.concat_ws(" | ", well, F.coalesce("head_basis_as_printed", F.lit(""))), F.col("loaded_at"))
     return heads.unionByName(one(convert_bubble_points(contexts), "esp_well_design_context", "bubble_point", "context_id", well, day))
@@ -311,6 +321,12 @@ def _well_levels(observations: DataFrame, contexts: DataFrame, field: str = "val
     return _levels(_well_rows(observations, contexts), field)
 
 
+def _with_silent(rows: DataFrame) -> DataFrame:
+    """All of ``rows`` with ``silent_unit`` and ``reverse_by`` of those that stand in a segment off by a known factor."""
+    off = silent_changes(_levels(rows, "value")).select("quantity", "row_id", F.col("unit_change").alias("silent_unit"), "reverse_by")
+    return rows.join(off, ["quantity", "row_id"], "left")
+
+
 def histories(observations: DataFrame, contexts: DataFrame, printed: bool = False) -> DataFrame:
     """Segments of both quantities per well; ``printed`` takes the numbers before conversion."""
     return segments(_well_levels(observations, contexts, "number" if printed else "value"))

@@ -122,6 +122,29 @@ def test_unstated_units_of_single_rows_are_put_right(spark):
     assert all(r.restored == pytest.approx(v, rel=2e-3) for w, v in (("a", 2000), ("b", 3000), ("c", 1859.3)) for r in by_well[w])
 
 
+def test_found_asks_the_history_where_a_unit_is_not_read(spark):
+    """A unit text that no vocabulary knows is decided by the level of its segment; no unit at all and known units are not."""
+    kpa = 13789.5
+    printed = {
+        "a": [("2000", None), ("2000", None), (f"{kpa} kpascal", None), ("2000", None), ("2000", None)],  # unknown word in the cell, level of kPa
+        "b": [("2000", None), ("2000", None), (str(kpa), "kilopasc."), ("2000", None), ("2000", None)],  # the same in the column
+        "c": [("2000", None), ("2000", None), (str(kpa), None), ("2000", None), ("2000", None)],  # no unit: no case, only put right
+        "d": [("2000", None), ("2000", None), ("2000 pnds", None), ("2000", None), ("2000", None)],  # unknown word, right level
+        "e": [("2000", None), ("2000", None), (str(kpa), "psia"), ("2000", None), ("2000", None)],  # a stated unit holds
+        "f": [("2000", None), ("2000", None), (str(kpa), "kPa"), ("2000", None), ("2000", None)],
+        "g": [("2000", None), ("2000", None), ("1985.3 psi (gge)", None), ("2000", None), ("2000", None)],  # 14.7 below: a gauge
+        "h": [("2000 fathoms?", None)],  # no history to ask
+    }
+    points = wells(spark, {w: [v for v, _ in rows] for w, rows in printed.items()})
+    units = {(w, f"d{i}"): u for w, rows in printed.items() for i, (_, u) in enumerate(rows)}
+    points = spark.createDataFrame([r.asDict() | {"bubble_point_unit_as_printed": units[r.well_id, r.source_document]} for r in points.collect()], points.schema)
+    well = {r.context_id: (r.well_id, r.source_document) for r in points.collect()}
+    got = sorted(U.found(no_heads(spark), points).collect())
+    assert [(r.table_name, *well[r.row_id]) for r in got] == [("esp_well_design_context", w, "d2") for w in "abfg"]
+    restored = {well[r.row_id]: r.restored for r in U.converted(no_heads(spark), points).collect()}
+    assert all(restored[w, "d2"] == pytest.approx(2000, rel=2e-3) for w in "abcdfg")
+
+
 def test_blocks_of_a_long_history(monkeypatch):
     """A history cut in blocks, some of whose borders fall inside a segment, gives the segments of the whole."""
     at = datetime(2024, 1, 1)
